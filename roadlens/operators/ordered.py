@@ -13,6 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from roadlens.operators.lineage import cut
+
 # At most this many hot keys are ever broadcast. A key outside this list holds
 # less than 1 / HOT_KEYS of all rows.
 HOT_KEYS = 1_000
@@ -126,3 +128,43 @@ def salted_join(
         table.join(flag, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     )
     return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+def running_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """Adds ``<value>_to_here``: the sum over all rows of the key up to this one.
+
+    Sums inside equal runs, plus what the runs before add up to. The second part is a table
+    with at most one row per run and key.
+    """
+    runs = cut(range_runs(df, [*keys, *order]))  # fixes which row is in which run
+    inside = Window.partitionBy("_run", *keys).orderBy(*order)
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*keys).orderBy("_run")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = runs.withColumns({f"{v}_to_here": F.sum(v).over(inside) for v in values})
+    per_run = runs.groupBy("_run", *keys).agg(*[F.sum(v).alias(f"_{v}") for v in values])
+    before = per_run.select(
+        "_run",
+        *keys,
+        *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values],
+    )
+    joined = so_far.join(before, ["_run", *keys])
+    sums = {f"{v}_to_here": F.col(f"{v}_to_here") + F.col(f"_before_{v}") for v in values}
+    return joined.withColumns(sums).drop("_run", "_place", *[f"_before_{v}" for v in values])
+
+
+def row_positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """Adds the 0-based place of every row in the given order over the whole table."""
+    runs = cut(range_runs(df, order))
+    sizes = runs.groupBy("_run").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per run: never more rows than the session has shuffle partitions.
+    starts = sizes.select(
+        "_run", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
+    )
+    placed = runs.join(F.broadcast(starts), "_run")
+    return placed.withColumn(name, F.col("_start") + F.col("_place")).drop(
+        "_run", "_place", "_start"
+    )
