@@ -54,6 +54,34 @@ def _totals(fare_average: bool = False):
     return columns
 
 
+def cube(labeled: DataFrame) -> DataFrame:
+    """Partial sums per junction, hour and level: the one scan behind all report tables."""
+    keys = ["Junction", "hour_of_day", "traffic_level"]
+    if "time_band" in labeled.columns:
+        keys.append("time_band")
+    return labeled.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("Vehicles").alias("counted"),
+        F.sum("Vehicles").alias("vehicles"),
+        F.sum("dynamic_fare").alias("fares"),
+        F.min("DateTime").alias("first_time"),
+        F.max("DateTime").alias("last_time"),
+    )
+
+
+def from_cube(partial: DataFrame, *keys: str, fare_average: bool = False) -> DataFrame:
+    """The same tables as by(), dataset_range() and overall(), from the partial sums."""
+    columns = [
+        F.sum("rows").alias("records"),
+        F.sum("vehicles").alias("total_vehicles"),
+        F.try_divide(F.sum("vehicles"), F.sum("counted")).alias("average_vehicles"),
+        F.sum("fares").alias("total_fare"),
+    ]
+    if fare_average:
+        columns.append((F.sum("fares") / F.sum("rows")).alias("average_fare"))
+    return partial.groupBy(*keys).agg(*columns) if keys else partial.agg(*columns)
+
+
 def overall(labeled: DataFrame) -> DataFrame:
     return labeled.agg(*_totals())
 

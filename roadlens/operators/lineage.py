@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,16 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder and read back from there."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The same rows through a Parquet table in the shared folder.
+
+    For wide results that several narrow queries read: each reads its own columns only, and
+    the table's size is known when their joins are planned.
+    """
+    spark = df.sparkSession
+    checkpoint_folder(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -43,6 +43,25 @@ def hour_level_summary(scored: DataFrame) -> DataFrame:
     )
 
 
+_MEASURES = ("traffic_volume", "visibility_in_miles", "weather_severity", "total_risk_score")
+
+
+def cube(scored: DataFrame) -> DataFrame:
+    """Partial sums per hour and level: the one scan behind all risk tables."""
+    sums = [F.sum(name).alias(f"{name}_sum") for name in _MEASURES]
+    counts = [F.count(name).alias(f"{name}_n") for name in _MEASURES]
+    return scored.groupBy("hour", "risk_level").agg(F.count(F.lit(1)).alias("rows"), *sums, *counts)
+
+
+def from_cube(partial: DataFrame, *keys: str) -> DataFrame:
+    """Records and the mean of every measure per hour, per level, or per both."""
+    means = [
+        F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")).alias(f"avg_{name}")
+        for name in _MEASURES
+    ]
+    return partial.groupBy(*keys).agg(F.sum("rows").alias("records"), *means)
+
+
 def transitions(
     scored: DataFrame, order: list[str] | None = None, settings: Settings = DEFAULTS
 ) -> DataFrame:

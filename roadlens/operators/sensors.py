@@ -141,6 +141,22 @@ def dynamic_prices(facts: DataFrame) -> DataFrame:
 # Reports over the result tables
 
 
+def run_counts(facts: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Rows of each of the five result tables, in one pass over the facts."""
+    level, multiplier = F.col("congestion_level"), F.col("travel_time_multiplier")
+    deviation = F.abs(F.col("speed") - F.col("sensor_mean_speed"))
+    spread = F.col("sensor_std_speed")
+    far = (spread > 0) & (deviation / F.when(spread > 0, spread) >= settings.anomaly_zscore)
+    rows = F.count(F.lit(1))
+    return facts.agg(
+        rows.alias("records_processed"),
+        F.count_if(rules.is_alert(level, multiplier)).alias("congestion_alerts"),
+        rows.alias("forecast_records"),
+        F.count_if(far).alias("anomalies_detected"),
+        rows.alias("pricing_records"),
+    )
+
+
 def latest_snapshot(metrics: DataFrame) -> DataFrame:
     """Rows at the newest timestamp of the table; the maximum stays inside the plan."""
     newest = metrics.select(F.max("timestamp")).scalar()
