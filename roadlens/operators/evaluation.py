@@ -51,7 +51,7 @@ def confusion(
     spark = predictions.sparkSession
     names = F.array(*[F.lit(name) for name in labels])
     grid = (
-        spark.range(1)
+        spark.range(0, 1, 1, 1)
         .select(F.explode(names).alias("actual"))
         .withColumn("predicted", F.explode(names))
     )

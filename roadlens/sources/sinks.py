@@ -36,7 +36,7 @@ def nested(df: DataFrame, name: str) -> DataFrame:
 
 def document(spark: SparkSession, constants: Mapping[str, object], parts: Mapping[str, DataFrame]):
     """One row: constant fields, then each small report table as an array of structs."""
-    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in constants.items()])
+    row = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in constants.items()])
     return row.withColumns({name: nested(df, name).scalar() for name, df in parts.items()})
 
 
