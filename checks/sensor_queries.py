@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from checks.views import half_up, view, with_views
 from roadlens.operators import reshape, sensors
+from roadlens.sources.sinks import nested
 
 
 def _facts(spark: SparkSession, folder: str) -> DataFrame:
-    listed = sensors.listed_readings(
-        view(spark, folder, "readings"), view(spark, folder, "sensors")
+    return sensors.sensor_facts(
+        view(spark, folder, "readings"), sensors=view(spark, folder, "sensors")
     )
-    return sensors.sensor_facts(listed)
 
 
 def rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
@@ -46,6 +46,18 @@ def dynamic_prices(spark, folder):
     return sensors.dynamic_prices(_facts(spark, folder))
 
 
+def run_counts(spark, folder):
+    return sensors.run_counts(_facts(spark, folder))
+
+
+def run_summary(spark, folder):
+    facts = _facts(spark, folder)
+    top = nested(sensors.top_sensors(sensors.congestion_alerts(facts)), "top")
+    names = F.concat_ws(",", F.transform("top", lambda s: s["sensor_id"])).alias("top_sensors")
+    most = F.array_max(F.transform("top", lambda s: s["events"])).alias("most_events")
+    return top.select(names, most)
+
+
 def top_congested_sensors(spark, folder):
     return sensors.top_sensors(congestion_alerts(spark, folder))
 
@@ -108,6 +120,8 @@ QUERIES = {
         speed_forecast,
         speed_anomalies,
         dynamic_prices,
+        run_counts,
+        run_summary,
         top_congested_sensors,
         latest_snapshot,
         latest_per_sensor,
@@ -194,6 +208,19 @@ SELECT timestamp, sensor_id, speed, free_flow_speed, round(avg_speed_1h, 8) AS a
     "speed_forecast": _FORECAST_WITH + "SELECT * FROM forecast",
     "speed_anomalies": _METRIC_WITH + _ANOMALIES,
     "dynamic_prices": _PRICE_WITH + "SELECT * FROM prices",
+    "run_counts": _METRIC_WITH + """
+SELECT count(*) AS records_processed,
+  count(*) FILTER (congestion_level IN ('high', 'severe') OR travel_time_multiplier >= 2.0)
+    AS congestion_alerts,
+  count(*) AS forecast_records, count(*) FILTER (sd > 0 AND abs((speed - m) / sd) >= 2.5)
+    AS anomalies_detected, count(*) AS pricing_records FROM metrics""",
+    "run_summary": with_views(
+        "readings", "sensors", base=_BASE, metrics=_METRICS, alerts=_ALERTS, top="""
+SELECT sensor_id, count(*) AS events FROM alerts GROUP BY sensor_id
+ORDER BY events DESC, sensor_id LIMIT 10"""
+    ) + """
+SELECT string_agg(sensor_id, ',' ORDER BY sensor_id) AS top_sensors, max(events) AS most_events
+FROM top""",
     "top_congested_sensors": with_views(
         "readings", "sensors", base=_BASE, metrics=_METRICS, alerts=_ALERTS
     ) + """

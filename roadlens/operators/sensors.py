@@ -16,36 +16,54 @@ from roadlens.functions.bands import first_match, floors
 from roadlens.operators.ordered import ordered_columns
 
 
-def listed_readings(readings: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Readings of the listed sensors; a sensor listed twice gives its readings twice.
-
-    No hint: Spark broadcasts the list when its file is below the session's threshold,
-    and otherwise splits skewed sensors in the sort-merge join (AQE).
-    """
-    return readings.join(sensors.select("sensor_id"), "sensor_id")
-
-
-def sensor_profile(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """One row per sensor: free-flow speed, mean, sample deviation, number of readings.
-
-    A grouped aggregate (combined before the shuffle), not a window over the sensor.
+def sensor_profile(
+    readings: DataFrame, settings: Settings = DEFAULTS, sensors: DataFrame | None = None
+) -> DataFrame:
+    """One row per sensor: free-flow speed, mean, deviation, rows, and the latest reading.
+
+    A grouped aggregate (combined before the shuffle), not a window over the sensor. With a
+    sensor list only listed sensors stay; ``copies`` says how often the list names them, and
+    the figures are those of readings repeated that often.
     """
     speed = F.col("speed")
-    return readings.groupBy("sensor_id").agg(
+    profile = readings.groupBy("sensor_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.percentile_approx(
             speed, rules.FREE_FLOW_QUANTILE, settings.quantile_accuracy
         ).alias("free_flow_speed"),
         F.avg(speed).alias("sensor_mean_speed"),
+        F.count(speed).alias("known"),
         F.coalesce(F.stddev(speed), F.lit(0.0)).alias("sensor_std_speed"),
+        F.max(F.struct("timestamp", "speed")).alias("latest"),
+    )
+    if sensors is None:
+        return profile.withColumn("copies", F.lit(1).cast("long"))
+    # One row per sensor on both sides, so neither a hot sensor nor a long list can skew this.
+    listed = sensors.groupBy("sensor_id").agg(F.count(F.lit(1)).alias("copies"))
+    known, copies = F.col("known"), F.col("copies")
+    repeated = F.sqrt(F.try_divide(copies * (known - 1), copies * known - 1))
+    return profile.join(listed, "sensor_id").withColumns(
+        {
+            "n": F.col("n") * copies,
+            "sensor_std_speed": F.coalesce(F.col("sensor_std_speed") * repeated, F.lit(0.0)),
+        }
     )
 
 
-def sensor_facts(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Readings with everything the five result tables are made of."""
+def sensor_facts(
+    readings: DataFrame, settings: Settings = DEFAULTS, sensors: DataFrame | None = None
+) -> DataFrame:
+    """Readings with everything the five result tables are made of.
+
+    With ``sensors`` only readings of listed sensors stay, once per mention in the list. That
+    join rides on the one that brings each sensor's profile to its rows.
+    """
     speed = F.col("speed")
     back = settings.rolling_window
 
+    def repeats(window: WindowSpec):
+        return {"copies": F.explode(F.sequence(F.lit(1), F.col("copies")))}
+
     def changes(window: WindowSpec):
         return {"speed_delta": F.coalesce(speed - F.lag(speed).over(window), F.lit(0.0))}
 
@@ -57,15 +75,16 @@ def sensor_facts(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFram
             "speed_trend": F.avg("speed_delta").over(frame),
         }
 
+    profile = sensor_profile(readings, settings, sensors)
     rolled = ordered_columns(
         readings,
         keys=["sensor_id"],
         order=["timestamp"],
         depth=back + 1,
-        steps=[changes, trailing],
+        steps=[changes, trailing] if sensors is None else [repeats, changes, trailing],
         hot_rows=settings.hot_rows,
-        per_key=sensor_profile(readings, settings),
-    )
+        per_key=profile.drop("known", "latest"),
+    ).drop("copies")
     proxy, hour = F.col("density_proxy"), F.col("hour_of_day")
     return rolled.withColumns(
         {

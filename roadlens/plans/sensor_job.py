@@ -11,12 +11,6 @@ from roadlens.operators.lineage import staged
 from roadlens.sources import readers, sinks
 
 
-def listed_readings(spark: SparkSession, layout: DatasetLayout) -> DataFrame:
-    return sensors.listed_readings(
-        readers.sensor_readings(spark, layout), readers.sensor_list(spark, layout)
-    )
-
-
 def result_tables(facts: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
     return {
         "traffic_metrics.parquet": sensors.traffic_metrics(facts),
@@ -44,7 +38,9 @@ def run(
 
     Grouping and windows run once, into a staged table; every result is a narrow scan of it.
     """
-    facts = staged(sensors.sensor_facts(listed_readings(spark, layout), settings))
+    readings = readers.sensor_readings(spark, layout)
+    listed = readers.sensor_list(spark, layout)
+    facts = staged(sensors.sensor_facts(readings, settings, listed))
     for name, table in result_tables(facts, settings).items():
         sinks.write_table(table, f"{output}/{name}")
     counts = {
@@ -70,7 +66,8 @@ def routes(
     spark: SparkSession, layout: DatasetLayout, pairs: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Cheapest routes for a table of (source, target) under the latest congestion."""
-    latest = routing.latest_congestion(listed_readings(spark, layout), settings)
+    readings = readers.sensor_readings(spark, layout)
+    latest = routing.latest_congestion(readings, settings, readers.sensor_list(spark, layout))
     return routing.least_cost_routes(pairs, readers.road_edges(spark, layout), latest, settings)
 
 

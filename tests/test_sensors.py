@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadlens import schemas
+from roadlens.config import Settings
 from roadlens.operators import reshape, sensors
 
 START = datetime(2024, 1, 1)
@@ -55,10 +56,28 @@ def test_null_speed_stays_and_is_low(spark):
     assert rows[1]["avg_speed_1h"] == 10.0
 
 
-def test_listed_twice_counts_twice(spark):
-    listed = spark.createDataFrame([("a",), ("a",), ("c",)], schemas.SENSORS)
-    got = sensors.listed_readings(readings(spark, [("a", 1.0), ("b", 2.0)]), listed)
-    assert [r["sensor_id"] for r in got.collect()] == ["a", "a"]
+@pytest.mark.parametrize("hot_rows", [10**9, 3])
+def test_sensor_list_repeats_and_drops(spark, hot_rows):
+    """The list join inside the facts equals joining first and windowing then."""
+    rows = [(s, float(v)) for v, s in enumerate("aababbacbaabbbaacab")]
+    table = readings(spark, rows)
+    listed = spark.createDataFrame([("a",), ("a",), ("b",), ("x",)], schemas.SENSORS)
+    settings = Settings(hot_rows=hot_rows)
+    got = sensors.sensor_facts(table, settings, listed)
+    want = sensors.sensor_facts(table.join(listed, "sensor_id"), Settings())
+    columns = [c for c in want.columns if c != "sensor_std_speed"]
+
+    def content(facts):
+        return sorted((tuple(r) for r in facts.select(*columns).collect()), key=repr)
+
+    assert content(got) == content(want)
+    assert {r["sensor_id"] for r in got.collect()} == {"a", "b"}
+
+    def deviations(facts):
+        pairs = facts.select("sensor_id", "sensor_std_speed").distinct().collect()
+        return dict(map(tuple, pairs))
+
+    assert deviations(got) == pytest.approx(deviations(want))
 
 
 def test_result_schemas(spark):
