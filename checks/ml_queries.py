@@ -10,6 +10,7 @@ from checks.views import view, with_views
 from roadlens.functions import rules, scalars
 from roadlens.ml import features, scoring, training
 from roadlens.operators import evaluation, junctions, requests, vehicles
+from roadlens.operators.lineage import cut
 
 _ACCURACY = 100_000
 _WAVES = ["hour_sin", "hour_cos", "rolling_mean_3"]
@@ -51,9 +52,8 @@ def random_split_rows(spark, folder):
 
 
 def stratified_split_rows(spark, folder):
-    train, test = features.stratified_split(
-        _risk(spark, folder), "event_id", "risk_level", accuracy=_ACCURACY
-    )
+    rows = cut(_risk(spark, folder).select("event_id", "risk_level"))
+    train, test = features.stratified_split(rows, "event_id", "risk_level", accuracy=_ACCURACY)
     parts = train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
@@ -61,9 +61,8 @@ def stratified_split_rows(spark, folder):
 
 
 def stratified_folds(spark, folder):
-    folded = features.with_folds(
-        _risk(spark, folder), "event_id", "risk_level", accuracy=_ACCURACY
-    )
+    rows = cut(_risk(spark, folder).select("event_id", "risk_level"))
+    folded = features.with_folds(rows, "event_id", "risk_level", accuracy=_ACCURACY)
     return folded.select("event_id", "risk_level", "fold")
 
 

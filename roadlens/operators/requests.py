@@ -62,31 +62,32 @@ def validate(raw: DataFrame) -> DataFrame:
     complete = raw.withColumns(absent) if absent else raw
     space = F.lit(" \t\r\n")
     given = {f: F.trim(F.coalesce(F.col(f).cast("string"), F.lit("")), space) for f in FIELDS}
-    blank = {f: text == "" for f, text in given.items()}
-    typed = {
-        f: F.when(given[f].rlike(WHOLE_NUMBER), given[f]).try_cast("int") for f in WHOLE_FIELDS
-    }
-    typed |= {
-        f: F.when(given[f].rlike(DECIMAL_NUMBER), given[f]).try_cast("double")
-        for f in DECIMAL_FIELDS
-    }
-    typed |= {f: F.nullif(given[f], F.lit("")) for f in TEXT_FIELDS}
 
+    def number(f: str, pattern: str, kind: str):
+        return F.when(F.col(f).rlike(pattern), F.col(f)).try_cast(kind)
+
+    # One projection per stage, so that no text is trimmed, matched or cast twice.
+    trimmed = complete.withColumns(given)
+    typed = trimmed.select(
+        *rest,
+        *[number(f, WHOLE_NUMBER, "int").alias(f) for f in WHOLE_FIELDS],
+        *[number(f, DECIMAL_NUMBER, "double").alias(f) for f in DECIMAL_FIELDS],
+        *[F.nullif(F.col(f), F.lit("")).alias(f) for f in TEXT_FIELDS],
+        *[(F.col(f) == "").alias(f"_blank_{f}") for f in FIELDS],
+    )
     messages = [
-        F.when(blank[f], REQUIRED_MESSAGE.format(f)).when(
-            typed[f].isNull(), NUMBER_MESSAGE.format(f)
+        F.when(F.col(f"_blank_{f}"), REQUIRED_MESSAGE.format(f)).when(
+            F.col(f).isNull(), NUMBER_MESSAGE.format(f)
         )
         for f in (*WHOLE_FIELDS, *DECIMAL_FIELDS)
     ]
-    messages += [F.when(blank[f], REQUIRED_MESSAGE.format(f)) for f in TEXT_FIELDS]
-    messages.append(F.when(~typed["hour"].between(0, 23), HOUR_MESSAGE))
+    messages += [F.when(F.col(f).isNull(), REQUIRED_MESSAGE.format(f)) for f in TEXT_FIELDS]
+    messages.append(F.when(~F.col("hour").between(0, 23), HOUR_MESSAGE))
     messages += [
-        F.when(typed[f] < 0, NEGATIVE_MESSAGE.format(f))
+        F.when(F.col(f) < 0, NEGATIVE_MESSAGE.format(f))
         for f in DECIMAL_FIELDS
         if f not in MAY_BE_NEGATIVE
     ]
-    return complete.select(
-        *rest,
-        *[column.alias(name) for name, column in typed.items()],
-        F.array_compact(F.array(*messages)).alias("errors"),
+    return typed.select(
+        *rest, *FIELDS, F.array_compact(F.array(*messages)).alias("errors")
     )
