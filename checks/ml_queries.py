@@ -10,9 +10,9 @@ from checks.views import view, with_views
 from roadlens.functions import rules, scalars
 from roadlens.ml import features, scoring, training
 from roadlens.operators import evaluation, junctions, requests, vehicles
-from roadlens.operators.lineage import cut
+from roadlens.operators.lineage import staged
 
-_ACCURACY = 100_000
+_EXACT = 32_768  # sketches of this size hold all rows of the checked tables
 _WAVES = ["hour_sin", "hour_cos", "rolling_mean_3"]
 
 
@@ -25,7 +25,7 @@ def demand_features(spark, folder):
 
 
 def time_split_sizes(spark, folder):
-    train, test = features.time_split(_demand(spark, folder), accuracy=_ACCURACY)
+    train, test = features.time_split(_demand(spark, folder), k=_EXACT)
     parts = train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
@@ -35,7 +35,7 @@ def time_split_sizes(spark, folder):
 
 
 def _risk(spark, folder):
-    return features.risk_features(view(spark, folder, "road_conditions"), _ACCURACY)
+    return features.risk_features(view(spark, folder, "road_conditions"), _EXACT)
 
 
 def risk_features(spark, folder):
@@ -52,8 +52,8 @@ def random_split_rows(spark, folder):
 
 
 def stratified_split_rows(spark, folder):
-    rows = cut(_risk(spark, folder).select("event_id", "risk_level"))
-    train, test = features.stratified_split(rows, "event_id", "risk_level", accuracy=_ACCURACY)
+    rows = staged(_risk(spark, folder).select("event_id", "risk_level"))
+    train, test = features.stratified_split(rows, "event_id", "risk_level", k=_EXACT)
     parts = train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
@@ -61,8 +61,8 @@ def stratified_split_rows(spark, folder):
 
 
 def stratified_folds(spark, folder):
-    rows = cut(_risk(spark, folder).select("event_id", "risk_level"))
-    folded = features.with_folds(rows, "event_id", "risk_level", accuracy=_ACCURACY)
+    rows = staged(_risk(spark, folder).select("event_id", "risk_level"))
+    folded = features.with_folds(rows, "event_id", "risk_level", k=_EXACT)
     return folded.select("event_id", "risk_level", "fold")
 
 

@@ -159,7 +159,7 @@ def first_risk_transitions(spark, folder):
 
 def median_imputation(spark, folder):
     conditions = roads.with_hour(view(spark, folder, "road_conditions"))
-    filled = reshape.fill_medians(conditions, [*ROAD_NUMBERS, "hour"], accuracy=100_000)
+    filled = reshape.fill_medians(conditions, [*ROAD_NUMBERS, "hour"], k=32_768)
     texts = ["weather_type", "weather_description"]
     return reshape.keep_known(reshape.fill_constants(filled, texts=texts), ["date_time"])
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULTS, Settings
 from roadlens.functions import rules, scalars
+from roadlens.functions.bands import lookup
 from roadlens.operators import reshape
-from roadlens.operators.evaluation import per_class
 from roadlens.operators.ordered import ordered_columns
+from roadlens.operators.quantiles import quantiles
 from roadlens.schemas import ROAD_NUMBERS, ROAD_TEXTS
 
 # Inputs of the models, in order.
@@ -83,7 +84,7 @@ def demand_features(
     return rolled.withColumns(scalars.calendar_features(F.col("DateTime"))).dropna()
 
 
-def risk_features(roads: DataFrame, accuracy: int = DEFAULTS.quantile_accuracy) -> DataFrame:
+def risk_features(roads: DataFrame, k: int = DEFAULTS.sketch_size) -> DataFrame:
     """Risk scores and level from the raw values, then gaps filled.
 
     The level is fixed before the medians go in, so imputed values never change it.
@@ -92,7 +93,7 @@ def risk_features(roads: DataFrame, accuracy: int = DEFAULTS.quantile_accuracy)
     hour = F.hour("date_time")
     rush = F.when(rules.is_rush_hour(hour), "Yes").otherwise("No")
     scored = rules.score_risk(typed.withColumns({"hour": hour, "rush_hour": rush}), "training")
-    filled = reshape.fill_medians(scored, [*ROAD_NUMBERS, "hour"], accuracy)
+    filled = reshape.fill_medians(scored, [*ROAD_NUMBERS, "hour"], k)
     named = reshape.fill_constants(filled, texts=RISK_TEXTS)
     return reshape.keep_known(named, ["date_time"])
 
@@ -121,14 +122,15 @@ def small_risk_features(roads: DataFrame) -> DataFrame:
     return rules.score_risk(roads.withColumn("hour", F.hour("date_time")), "labels")
 
 
-# Splits
+# Splits. Cut points are read once (one number, or one row per class): every use of the two
+# sides then sees the same cut, and no row can fall on both sides or on none.
 
 
-def time_split(df: DataFrame, share: float = 0.8, accuracy: int = DEFAULTS.quantile_accuracy):
+def time_split(df: DataFrame, share: float = 0.8, k: int = DEFAULTS.sketch_size):
     """Rows up to the given percentile of ``timestamp_seconds``, and the rows after it."""
-    seconds = F.col("timestamp_seconds")
-    point = df.agg(F.percentile_approx(seconds, share, accuracy)).scalar()
-    return df.where(seconds <= point), df.where(seconds > point)
+    (point,) = quantiles(df, ["timestamp_seconds"], [share], k).first()["timestamp_seconds"]
+    seconds, cut = F.col("timestamp_seconds"), F.lit(int(point))
+    return df.where(seconds <= cut), df.where(seconds > cut)
 
 
 def random_split(df: DataFrame, key: str, share: float = 0.8, seed: int = 42):
@@ -137,22 +139,33 @@ def random_split(df: DataFrame, key: str, share: float = 0.8, seed: int = 42):
     return df.where(place < share), df.where(place >= share)
 
 
-def uniform_place(key: str, seed: int):
+def uniform_place(key: str, seed: int) -> Column:
     return scalars.uniform_hash(F.col(key), seed) / F.lit(float(2**52))
 
 
+def _class_cuts(
+    df: DataFrame, key: str, label: str, shares: Sequence[float], seed: int, k: int
+) -> list[Column]:
+    """Per share, the row's class's quantile of the hash, as a constant map over the classes."""
+    hashed = df.select(label, scalars.uniform_hash(F.col(key), seed).alias("h"))
+    rows = quantiles(hashed, ["h"], shares, k, by=[label]).collect()
+    return [
+        lookup(F.col(label), {row[label]: int(row["h"][place]) for row in rows})
+        for place in range(len(shares))
+    ]
+
+
 def stratified_split(
     df: DataFrame,
     key: str,
     label: str,
     share: float = 0.8,
     seed: int = 42,
-    accuracy: int = DEFAULTS.quantile_accuracy,
+    k: int = DEFAULTS.sketch_size,
 ):
     """Like random_split, but each class is cut at its own percentile of the hash."""
+    (cut,) = _class_cuts(df, key, label, [share], seed, k)
     hashed = scalars.uniform_hash(F.col(key), seed)
-    cuts = df.groupBy(label).agg(F.percentile_approx(hashed, share, accuracy).alias("cut"))
-    cut = per_class(cuts, label, "cut")
     return df.where(hashed <= cut), df.where(hashed > cut)
 
 
@@ -162,12 +175,12 @@ def with_folds(
     label: str,
     folds: int = 3,
     seed: int = 42,
-    accuracy: int = DEFAULTS.quantile_accuracy,
+    k: int = DEFAULTS.sketch_size,
 ) -> DataFrame:
     """Adds ``fold``: equal shares of every class, by percentiles of the seeded hash."""
     hashed = scalars.uniform_hash(F.col(key), seed)
     shares = [(i + 1) / folds for i in range(folds - 1)]
-    cuts = df.groupBy(label).agg(F.percentile_approx(hashed, shares, accuracy).alias("cuts"))
-    bounds = per_class(cuts, label, "cuts")
-    above = [(hashed > bounds[place]).cast("int") for place in range(folds - 1)]
+    above = [
+        (hashed > cut).cast("int") for cut in _class_cuts(df, key, label, shares, seed, k)
+    ]
     return df.withColumn("fold", sum(above, F.lit(0)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from roadlens.config import DEFAULTS, Settings
 from roadlens.ml import features, models, scoring
 from roadlens.operators import evaluation
-from roadlens.operators.lineage import cut
+from roadlens.operators.lineage import staged
 
 
 @dataclass
@@ -46,7 +46,7 @@ def train_volume(
     depth: int = 12,
 ) -> Fitted:
     """Demand forecast: chronological split, forest, predicted volume and fare."""
-    data = cut(features.demand_features(counts, ties, settings))
+    data = staged(features.demand_features(counts, ties, settings))
     train, test = features.time_split(data)
     model = models.volume_forecaster(trees, depth).fit(train)
     predictions = scoring.with_fare(model.transform(test))
@@ -74,7 +74,7 @@ def train_situation(
     boosted_depth: int = 6,
 ) -> list[Fitted]:
     """Situation classifiers on the prepared vehicle mix: forest and boosted trees."""
-    data = cut(prepared)
+    data = staged(prepared)
     n_classes = evaluation.distinct_labels(data, "TrafficSituation").first()["n_classes"]
     train, test = features.random_split(data, key)
     forest = models.situation_forest(trees, depth).fit(train)
@@ -86,7 +86,7 @@ def train_situation(
 
 
 def train_small_situation(mix: DataFrame, key: str, trees: int = 200) -> Fitted:
-    data = cut(features.small_situation_features(mix))
+    data = staged(features.small_situation_features(mix))
     train, test = features.stratified_split(data, key, "traffic_situation")
     model = models.small_situation_forest(trees).fit(train)
     return evaluate_classes(
@@ -96,7 +96,7 @@ def train_small_situation(mix: DataFrame, key: str, trees: int = 200) -> Fitted:
 
 def train_small_risk(roads: DataFrame, key: str, trees: int = 200) -> Fitted:
     """Risk classifier on request-shaped rows; rows without a full set of inputs are left out."""
-    data = cut(features.small_risk_features(roads).dropna(subset=features.SMALL_RISK_NUMBERS))
+    data = staged(features.small_risk_features(roads).dropna(subset=features.SMALL_RISK_NUMBERS))
     train, test = features.stratified_split(data, key, "risk_level")
     model = models.small_risk_forest(trees).fit(train)
     return evaluate_classes(scoring.MODEL_NAMES["risk"][0], model, test, "risk_level")
@@ -140,10 +140,10 @@ def train_risk(
     ``no_leak`` leaves out the scores the label is derived from.
     """
     numbers = features.RISK_NUMBERS_NO_LEAK if no_leak else features.RISK_NUMBERS
-    data = cut(features.risk_features(roads))
+    data = staged(features.risk_features(roads))
     train, test = features.stratified_split(data, key, "risk_level")
     train, test = impute_from_train(train, [test], numbers, features.RISK_TEXTS)
-    weighted = cut(evaluation.with_class_weight(train, "risk_level"))
+    weighted = staged(evaluation.with_class_weight(train, "risk_level"))
 
     fitted = [
         ("Logistic Regression", models.risk_logistic(numbers, logistic_rounds).fit(weighted)),
@@ -152,7 +152,7 @@ def train_risk(
     if boosted:
         n_classes = evaluation.distinct_labels(weighted, "risk_level").first()["n_classes"]
         grid = models.risk_boosted(n_classes, numbers, rounds, steps, folds=folds)
-        folded = cut(features.with_folds(weighted, key, "risk_level", folds))
+        folded = staged(features.with_folds(weighted, key, "risk_level", folds))
         fitted.append(("Gradient Boosting", grid.fit(folded).bestModel))
     return [evaluate_classes(name, model, test, "risk_level") for name, model in fitted]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULTS
 from roadlens.functions import scalars
+from roadlens.operators.quantiles import quantiles
 
 
 def wide_to_long(wide: DataFrame) -> DataFrame:
@@ -68,25 +69,17 @@ def fill_constants(
     return df.fillna(values) if values else df
 
 
-def medians(
-    df: DataFrame, columns: Sequence[str], accuracy: int = DEFAULTS.quantile_accuracy
-) -> DataFrame:
+def medians(df: DataFrame, columns: Sequence[str], k: int = DEFAULTS.sketch_size) -> DataFrame:
     """One row: the median of every column, all in one pass; no value gives 0.0."""
-    return df.agg(
-        *[
-            F.coalesce(
-                F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy), F.lit(0.0)
-            ).alias(c)
-            for c in columns
-        ]
-    )
+    row = quantiles(df, columns, [0.5], k)
+    return row.select(*[F.coalesce(F.col(c)[0], F.lit(0.0)).alias(c) for c in columns])
 
 
 def fill_medians(
-    df: DataFrame, columns: Sequence[str], accuracy: int = DEFAULTS.quantile_accuracy
+    df: DataFrame, columns: Sequence[str], k: int = DEFAULTS.sketch_size
 ) -> DataFrame:
     """Missing numbers become the column's median over the whole table, kept in its type."""
-    row = medians(df, columns, accuracy)
+    row = medians(df, columns, k)
     kinds = dict(df.dtypes)
     one = row.select(F.struct(*columns).alias("medians")).scalar()
     return df.withColumns(
