@@ -30,14 +30,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared checkpoint folder that nothing else uses."""
+    checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4()}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """The same rows through a Parquet table in the shared folder.
 
     For wide results that several narrow queries read: each reads its own columns only, and
     the table's size is known when their joins are planned.
     """
-    spark = df.sparkSession
-    checkpoint_folder(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4()}"
+    path = new_folder(df.sparkSession, "staged")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

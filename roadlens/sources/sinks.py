@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Spark writes times in text files to the millisecond unless told otherwise.
+_WHOLE_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("overwrite").parquet(path, partitionBy=list(partition_by) or None)
 
@@ -20,12 +27,12 @@ def rows_written(spark: SparkSession, path: str) -> int:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **_WHOLE_TIMES).csv(path)
 
 
 def write_document(df: DataFrame, path: str) -> None:
     """A DataFrame of nested rows as JSON."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**_WHOLE_TIMES).json(path)
 
 
 def nested(df: DataFrame, name: str) -> DataFrame:
@@ -36,7 +43,10 @@ def nested(df: DataFrame, name: str) -> DataFrame:
 
 def document(spark: SparkSession, constants: Mapping[str, object], parts: Mapping[str, DataFrame]):
     """One row: constant fields, then each small report table as an array of structs."""
-    row = spark.range(0, 1, 1, 1).select(*[F.lit(v).alias(k) for k, v in constants.items()])
+    fields = {
+        k: F.lit(v).cast("long") if isinstance(v, int) else F.lit(v) for k, v in constants.items()
+    }
+    row = spark.range(0, 1, 1, 1).select(*[v.alias(k) for k, v in fields.items()])
     return row.withColumns({name: nested(df, name).scalar() for name, df in parts.items()})
 
 
