@@ -18,7 +18,7 @@ from roadlens.config import DatasetLayout
 from roadlens.functions import scalars
 from roadlens.ml import models, training
 from roadlens.operators import roads, sensors
-from roadlens.operators.lineage import new_folder
+from roadlens.operators.lineage import new_folder, staged
 from roadlens.plans import reports, sensor_job, training_jobs
 from roadlens.sources import readers, sinks
 from roadlens.streaming import alerts
@@ -119,9 +119,8 @@ def streamed_alerts(spark, folder):
     source, output = new_folder(spark, "arrivals"), new_folder(spark, "alerts")
     readings = view(spark, folder, "readings")
     readings.write.parquet(source)
-    stream = alerts.live_alerts(
-        alerts.reading_files(spark, source), sensors.sensor_profile(readings)
-    )
+    free_flow = staged(sensors.sensor_profile(readings))
+    stream = alerts.live_alerts(alerts.reading_files(spark, source), free_flow)
     alerts.write_alerts(stream, output, new_folder(spark, "progress")).awaitTermination()
     return spark.read.parquet(output)
 

@@ -22,6 +22,8 @@ SEED = 42
 LABEL = "label"
 # Trees that the original grows without a depth limit; Spark itself stops at 30.
 DEEP = 15
+# More node statistics per pass over the rows means fewer passes.
+_FOREST = {"seed": SEED, "maxMemoryInMB": 1024}
 
 
 def _encoded(texts: Sequence[str], drop_unseen: bool) -> list:
@@ -73,7 +75,7 @@ def plain_inputs(numbers: Sequence[str], texts: Sequence[str]) -> list:
 def volume_forecaster(trees: int = 150, depth: int = 12) -> Pipeline:
     """Volume from calendar, lags and the one-hot junction."""
     forest = RandomForestRegressor(
-        labelCol="Vehicles", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=SEED
+        labelCol="Vehicles", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, **_FOREST
     )
     inputs = ["Junction_encoded", *features.VOLUME_INPUTS]
     return Pipeline(stages=[*_encoded(["Junction"], False), _assembled(inputs), forest])
@@ -82,7 +84,7 @@ def volume_forecaster(trees: int = 150, depth: int = 12) -> Pipeline:
 def small_volume_forest(trees: int = 150, depth: int = DEEP) -> Pipeline:
     """Volume from hour and junction alone."""
     forest = RandomForestRegressor(
-        labelCol="Vehicles", numTrees=trees, maxDepth=depth, seed=SEED
+        labelCol="Vehicles", numTrees=trees, maxDepth=depth, **_FOREST
     )
     return Pipeline(stages=[_assembled(features.SMALL_VOLUME_INPUTS), forest])
 
@@ -101,7 +103,7 @@ def _situation(classifier: Estimator) -> Pipeline:
 
 def situation_forest(trees: int = 120, depth: int = 10) -> Pipeline:
     return _situation(
-        RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=SEED)
+        RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_FOREST)
     )
 
 
@@ -119,13 +121,13 @@ def situation_boosted(n_classes: int, rounds: int = 80, depth: int = 6) -> Pipel
 
 
 def small_situation_forest(trees: int = 200, depth: int = DEEP) -> Pipeline:
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=SEED)
+    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_FOREST)
     inputs = plain_inputs(features.SMALL_SITUATION_NUMBERS, features.SMALL_SITUATION_TEXTS)
     return Pipeline(stages=[label_indexer("traffic_situation"), *inputs, forest])
 
 
 def small_risk_forest(trees: int = 200, depth: int = DEEP) -> Pipeline:
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=SEED)
+    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_FOREST)
     inputs = plain_inputs(features.SMALL_RISK_NUMBERS, features.SMALL_RISK_TEXTS)
     return Pipeline(stages=[label_indexer("risk_level"), *inputs, forest])
 
@@ -153,7 +155,7 @@ def risk_forest(
         numTrees=trees,
         maxDepth=depth,
         minInstancesPerNode=2,
-        seed=SEED,
+        **_FOREST,
     )
     return _risk(model, numbers)
 

@@ -51,12 +51,16 @@ def sensor_profile(
 
 
 def sensor_facts(
-    readings: DataFrame, settings: Settings = DEFAULTS, sensors: DataFrame | None = None
+    readings: DataFrame,
+    settings: Settings = DEFAULTS,
+    sensors: DataFrame | None = None,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Readings with everything the five result tables are made of.
 
     With ``sensors`` only readings of listed sensors stay, once per mention in the list. That
-    join rides on the one that brings each sensor's profile to its rows.
+    join rides on the one that brings each sensor's profile to its rows. ``profile`` is the
+    stored result of sensor_profile(), if there is one.
     """
     speed = F.col("speed")
     back = settings.rolling_window
@@ -75,13 +79,15 @@ def sensor_facts(
             "speed_trend": F.avg("speed_delta").over(frame),
         }
 
-    profile = sensor_profile(readings, settings, sensors)
+    once = sensors is None and profile is None
+    if profile is None:
+        profile = sensor_profile(readings, settings, sensors)
     rolled = ordered_columns(
         readings,
         keys=["sensor_id"],
         order=["timestamp"],
         depth=back + 1,
-        steps=[changes, trailing] if sensors is None else [repeats, changes, trailing],
+        steps=[changes, trailing] if once else [repeats, changes, trailing],
         hot_rows=settings.hot_rows,
         per_key=profile.drop("known", "latest"),
     ).drop("copies")

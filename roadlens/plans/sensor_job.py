@@ -36,11 +36,14 @@ def run(
 ) -> DataFrame:
     """Write all result tables and ``summary.json`` under ``output``; returns the summary row.
 
-    Grouping and windows run once, into a staged table; every result is a narrow scan of it.
+    The text is parsed once, the sensors are profiled once, and grouping and windows run once,
+    each into a staged table; every result is a narrow scan of the last. The profile's stored
+    size also lets Spark decide on a broadcast before it shuffles any reading.
     """
-    readings = readers.sensor_readings(spark, layout)
+    readings = staged(readers.sensor_readings(spark, layout))
     listed = readers.sensor_list(spark, layout)
-    facts = staged(sensors.sensor_facts(readings, settings, listed))
+    profile = staged(sensors.sensor_profile(readings, settings, listed))
+    facts = staged(sensors.sensor_facts(readings, settings, profile=profile))
     for name, table in result_tables(facts, settings).items():
         sinks.write_table(table, f"{output}/{name}")
     counts = {
