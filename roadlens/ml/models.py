@@ -175,9 +175,6 @@ def risk_boosted(
     grid = (
         ParamGridBuilder().addGrid(trees.maxIter, list(rounds)).addGrid(trees.stepSize, list(steps))
     ).build()
-    if isinstance(booster, OneVsRest):
-        # A parameter map reaches the wrapped trees only as a whole classifier.
-        grid = [{booster.classifier: trees.copy(chosen)} for chosen in grid]
     return CrossValidator(
         estimator=_risk(booster, numbers),
         estimatorParamMaps=grid,
