@@ -113,7 +113,7 @@ def _boosted(rounds: int, depth: int, n_classes: int, step: float = 0.1, weight=
     if n_classes <= 2:
         trees.setLabelCol(LABEL)
         return trees.setWeightCol(weight) if weight else trees
-    return OneVsRest(classifier=trees, labelCol=LABEL, weightCol=weight)
+    return OneVsRest(classifier=trees, labelCol=LABEL, weightCol=weight, parallelism=4)
 
 
 def situation_boosted(n_classes: int, rounds: int = 80, depth: int = 6) -> Pipeline:
