@@ -89,10 +89,13 @@ def _in_runs(
 
 
 def range_runs(df: DataFrame, line: Sequence[str], descending: bool = False) -> DataFrame:
-    """Cut the table into equal runs along ``line``; adds ``_run`` and the place in the run."""
+    """Cut the table into equal runs along ``line``; adds ``_run`` and the place in the run.
+
+    At most one run per shuffle partition; AQE may join neighbouring small runs.
+    """
     direction = F.desc if descending else F.asc
     return (
-        df.repartitionByRange(shuffle_width(df.sparkSession), *line)
+        df.repartitionByRange(*line)
         .sortWithinPartitions(*[direction(name) for name in line])
         .withColumns(
             {

@@ -12,6 +12,20 @@ from roadlens.functions import rules
 from roadlens.operators import ordered, roads, sensors
 
 
+@pytest.fixture(autouse=True)
+def keep_small_runs(spark):
+    """Without this AQE joins the few test rows into one run."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
+def test_several_runs(skewed):
+    runs = ordered.range_runs(skewed, ["k", "t", "id"])
+    assert runs.select("_run").distinct().count() > 4
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One key holds a third of the rows, some keys a single one; times bunch up."""
