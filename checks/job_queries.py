@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.ml_queries import _risk, _risk_sql
+from checks.ml_queries import _EXACT, _risk, _risk_sql
 from checks.sensor_queries import _ALERTS, _BASE, _METRICS, _PRICES, rounded
 from checks.summary_queries import (
     _FLAT_WITH, _MIX_WITH, _PEAK_WITH, _TOTALS, _TRANSITIONS, _mix, _scored, risk_with,
@@ -178,7 +178,8 @@ def standardised_features(spark, folder):
 def train_imputed(spark, folder):
     conditions = view(spark, folder, "road_conditions")
     numbers = ["visibility_in_miles", "air_pollution_index"]
-    (filled,) = training.impute_from_train(conditions, [], numbers, ["weather_description"])
+    texts = ["weather_description"]
+    (filled,) = training.impute_from_train(conditions, [], numbers, texts, _EXACT)
     return filled.select("event_id", *numbers, "weather_description")
 
 

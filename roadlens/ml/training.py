@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import Imputer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from roadlens.config import DEFAULTS, Settings
 from roadlens.ml import features, models, scoring
 from roadlens.operators import evaluation
 from roadlens.operators.lineage import staged
+from roadlens.operators.reshape import medians
 
 
 @dataclass
@@ -109,19 +109,22 @@ def most_frequent(df: DataFrame, column: str) -> DataFrame:
 
 
 def impute_from_train(
-    train: DataFrame, others: Sequence[DataFrame], numbers: Sequence[str], texts: Sequence[str]
+    train: DataFrame,
+    others: Sequence[DataFrame],
+    numbers: Sequence[str],
+    texts: Sequence[str],
+    k: int = DEFAULTS.sketch_size,
 ) -> list[DataFrame]:
-    """Fill gaps in all tables with the training rows' medians and commonest texts."""
+    """Fill gaps in all tables with the training rows' medians and commonest texts.
+
+    One value per column is read once, so every table gets the same filling.
+    """
+    filling = medians(train, numbers, k).first().asDict()
+    for name in texts:
+        if (row := most_frequent(train, name).first()) is not None:
+            filling[name] = row[name]
     doubles = {name: F.col(name).cast("double") for name in numbers}
-    typed = train.withColumns(doubles)
-    imputer = Imputer(
-        strategy="median", inputCols=list(numbers), outputCols=list(numbers)
-    ).fit(typed)
-    commonest = {name: F.coalesce(name, most_frequent(train, name).scalar()) for name in texts}
-    return [
-        imputer.transform(df.withColumns(doubles)).withColumns(commonest)
-        for df in (train, *others)
-    ]
+    return [df.withColumns(doubles).fillna(filling) for df in (train, *others)]
 
 
 def train_risk(
