@@ -50,8 +50,9 @@ def frequent(digests: DataFrame, share: float) -> DataFrame:
     parts = digests.groupBy(buckets.alias("bucket")).agg(
         F.expr(f"approx_top_k_accumulate(text_sha256, {counters})").alias("sketch")
     )
-    whole = parts.agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
-    items = whole.where(F.lit(rows > 0)).select(
+    # Grouped, so that empty partitions, whose sketch would have no type, emit nothing.
+    whole = parts.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
+    items = whole.select(
         F.explode(F.expr(f"approx_top_k_estimate(sketch, {2 * most})")).alias("top")
     )
     # An estimate may be low by the sketch's error, so the line is drawn below the share.
