@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import exact, language, quality, toxicity
+from roadlens.llm import exact, language, packing, quality, token_files, toxicity
+from roadlens.operators.lineage import new_folder
+
+END = 1  # the id behind every document
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +29,19 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predict(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "token-files")
+    token_files.write(_table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"), END, path)
+    return token_files.read_documents(spark, path)
+
+
+def op4_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"), END)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op5_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(_table(spark, folder, "documents"))
 
@@ -31,6 +53,8 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
+    "op3_token_files": op3_token_files,
+    "op4_harmonic_packing": op4_harmonic_packing,
     "op5_compression_bands": op5_compression_bands,
     "op6_exact_dedup": op6_exact_dedup,
 }
