@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import exact, language, packing, quality, token_files, toxicity
+from roadlens.llm import exact, language, neardup, packing, quality, token_files, toxicity
 from roadlens.operators.lineage import new_folder
 
 END = 1  # the id behind every document
@@ -50,6 +50,11 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.decisions(_table(spark, folder, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = neardup.decisions(_table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
@@ -57,6 +62,7 @@ QUERIES = {
     "op4_harmonic_packing": op4_harmonic_packing,
     "op5_compression_bands": op5_compression_bands,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLES = {
@@ -72,5 +78,35 @@ WITH normal AS (
   FROM normal
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+""",
+    "op9_near_dedup": r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE
+      WHEN len(words) >= 4 THEN list_distinct(list_transform(
+        range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' ')))
+      WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
+      ELSE [] END AS shingles
+  FROM split
+), shingle AS (
+  SELECT doc_id, len(shingles) AS n, unnest(shingles) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
 """,
 }
