@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import exact, language, neardup, packing, quality, token_files, toxicity
+from roadlens.llm import (
+    attribution,
+    exact,
+    language,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    token_files,
+    toxicity,
+)
 from roadlens.operators.lineage import new_folder
 
 END = 1  # the id behind every document
@@ -50,6 +60,14 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.decisions(_table(spark, folder, "documents"))
 
 
+def op7_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return attribution.of_sections(_table(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = neardup.decisions(_table(spark, folder, "documents"))
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
@@ -62,6 +80,8 @@ QUERIES = {
     "op4_harmonic_packing": op4_harmonic_packing,
     "op5_compression_bands": op5_compression_bands,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_temperature_mixing": op7_temperature_mixing,
+    "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
 }
 
@@ -83,12 +103,12 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 WITH RECURSIVE split AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x20\x09-\x0D]+'), w -> w <> '') AS words
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE
       WHEN len(words) >= 4 THEN list_distinct(list_transform(
-        range(1, len(words) - 2), i -> array_to_string(words[i:i + 3], ' ')))
+        range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')))
       WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
       ELSE [] END AS shingles
   FROM split
