@@ -9,6 +9,7 @@ from roadlens.llm import (
     attribution,
     exact,
     language,
+    lm,
     mixing,
     neardup,
     packing,
@@ -73,6 +74,10 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
@@ -83,6 +88,7 @@ QUERIES = {
     "op7_temperature_mixing": op7_temperature_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
+    "op10_deleted_interpolation": op10_deleted_interpolation,
 }
 
 ORACLES = {
