@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlens.llm.survivors import text_key, without_rejected
 from roadlens.operators.lineage import staged
 from roadlens.operators.ordered import shuffle_width
 
@@ -34,6 +35,7 @@ def digest_columns() -> dict:
     return {
         "text_sha256": F.sha2(F.translate(text, BLANKS, ""), 256),
         "code_points": F.char_length(text),
+        "text_key": text_key(),
     }
 
 
@@ -62,6 +64,10 @@ def frequent(digests: DataFrame, share: float) -> DataFrame:
 
 def decisions(docs: DataFrame, share: float = 1e-3) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _decided(docs, share).drop("text_key")
+
+
+def _decided(docs: DataFrame, share: float) -> DataFrame:
     digests = staged(docs.select("doc_id", *[c.alias(n) for n, c in digest_columns().items()]))
     best = F.min(F.struct(-F.col("code_points"), F.col("doc_id").isNull(), F.col("doc_id")))
     size = F.count(F.lit(1))
@@ -80,22 +86,10 @@ def decisions(docs: DataFrame, share: float = 1e-3) -> DataFrame:
         "group_size",
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
+        "text_key",
     )
 
 
 def survivors(docs: DataFrame, share: float = 1e-3) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    told = decisions(docs, share).select("doc_id", "text_sha256", "kept")
-    told = staged(told.groupBy("doc_id", "text_sha256", "kept").agg(F.count(F.lit(1)).alias("n")))
-    own = "__exact_own_digest"
-    gone = told.where(~F.col("kept")).select(
-        F.col("doc_id").alias("__exact_gone_id"), F.col("text_sha256").alias("__exact_gone_digest")
-    )
-    marked = docs.withColumn(own, digest_columns()["text_sha256"])
-    same = F.col("doc_id").eqNullSafe(F.col("__exact_gone_id")) & (
-        F.col(own) == F.col("__exact_gone_digest")
-    )
-    stay = marked.join(gone, same, "left_anti")
-    if not told.where(F.col("kept") & (F.col("n") > 1)).isEmpty():
-        stay = stay.dropDuplicates(["doc_id", own])  # rows that repeat the same document
-    return stay.drop(own)
+    return without_rejected(docs, _decided(docs, share).select("doc_id", "text_key", "kept"))

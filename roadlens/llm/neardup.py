@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.components import components
 from roadlens.llm.hashing import LOWER, blocks, hash_runs, mixed, text_bytes, words
+from roadlens.llm.survivors import text_key, without_rejected
 from roadlens.operators.lineage import staged
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -135,7 +136,7 @@ def _bytes(column: pa.Array, width: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
     """Staged: doc_id, text_key, node, n_shingles, keys, sig."""
-    narrow = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    narrow = docs.select("doc_id", text_key().alias("text_key"), "text")
     id_type = narrow.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +186,7 @@ def _candidates(docs: DataFrame, table: DataFrame, shared: DataFrame, settings:
     which = one.select(F.col("one.text_key").alias("text_key"), F.col("one.doc_id").alias("which"))
     if few:
         which = F.broadcast(which)  # at most few_ids rows of two numbers
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").join(which, "text_key")
+    texts = docs.select("doc_id", text_key().alias("text_key"), "text").join(which, "text_key")
     texts = texts.where(F.col("doc_id").eqNullSafe(F.col("which"))).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,15 +368,4 @@ def decisions(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def survivors(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    told = decisions(docs, settings).groupBy("doc_id", "text_key", "kept")
-    told = staged(told.agg(F.count(F.lit(1)).alias("n")))
-    own = "__near_own_text"
-    gone = told.where(~F.col("kept")).select(
-        F.col("doc_id").alias("__near_gone_id"), F.col("text_key").alias("__near_gone_text")
-    )
-    marked = docs.withColumn(own, F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("__near_gone_id")) & (F.col(own) == F.col("__near_gone_text"))
-    stay = marked.join(gone, same, "left_anti")
-    if not told.where(F.col("kept") & (F.col("n") > 1)).isEmpty():
-        stay = stay.dropDuplicates(["doc_id", own])  # rows that repeat the same document
-    return stay.drop(own)
+    return without_rejected(docs, decisions(docs, settings).select("doc_id", "text_key", "kept"))

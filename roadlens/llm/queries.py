@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,17 +18,12 @@ from roadlens.llm import (
     token_files,
     toxicity,
 )
+from roadlens.llm.tokens import public_file as _tokenizer
 from roadlens.operators.lineage import new_folder
 
 END = 1  # the id behind every document
 
 
-def _tokenizer(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -78,6 +74,10 @@ def op10_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(_table(spark, folder, "documents"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_toxicity": op2_toxicity,
@@ -89,6 +89,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
     "op10_deleted_interpolation": op10_deleted_interpolation,
+    "pipeline": pipeline,
 }
 
 ORACLES = {

@@ -81,6 +81,13 @@ def cut(data: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray, n
     return starts[real], ends[real]
 
 
+def public_file(name: str) -> str:
+    """Where the installed package of public vocabularies keeps a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class Encoder:
     """Ids of text columns. ``path`` is a tokenizer file that every worker can read."""
 

@@ -228,3 +228,18 @@ def predict(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
             )
 
     return narrow.mapInArrow(run, f"doc_id {id_type}, held_out boolean, score double, predicted int")
+
+
+def clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    spark = docs.sparkSession
+    scorer = spark.sparkContext.broadcast(Scorer.fit(*sample(docs, labels, settings), settings))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = scorer.value
+        for batch in batches:
+            stay = [model.score(text.as_py()) < settings.threshold for text in batch.column(at)]
+            yield batch.filter(pa.array(stay, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
