@@ -47,7 +47,7 @@ class Settings:
     bands: int = 64
     rows: int = 8
     batch: int = 64
-    miss: float = 1e-5
+    miss: float = 1e-4
     block: int = 512
     # Up to so many ids are broadcast to pick candidate texts; beyond, the join is shuffled.
     few_ids: int = 500_000
@@ -175,12 +175,15 @@ def _shared(table: DataFrame) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, table: DataFrame, shared: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """Staged (node, n, sig) and (node, set) of the nodes in ``shared``."""
+    """Staged (node, n, sig, keys) and (node, set) of the nodes in ``shared``."""
     nodes = staged(shared.select("node").distinct())
     few = nodes.count() <= settings.few_ids
     own = table.join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
     one = own.groupBy("node").agg(
-        F.min(F.struct("text_key", "doc_id")).alias("one"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
+        F.min(F.struct("text_key", "doc_id")).alias("one"),
+        F.first("n_shingles").alias("n"),
+        F.first("sig").alias("sig"),
+        F.first("keys").alias("keys"),
     )
     one = staged(one)
     which = one.select(F.col("one.text_key").alias("text_key"), F.col("one.doc_id").alias("which"))
@@ -200,7 +203,7 @@ def _candidates(docs: DataFrame, table: DataFrame, shared: DataFrame, settings:
                 )
 
     sets = texts.mapInArrow(run, "node bigint, set binary").dropDuplicates(["node"])
-    return one.select("node", "n", "sig"), staged(sets)
+    return one.select("node", "n", "sig", "keys"), staged(sets)
 
 
 def _with_both(pairs: DataFrame, table: DataFrame, *names: str) -> DataFrame:
@@ -256,7 +259,7 @@ def _across(shared: DataFrame, roots: DataFrame, sigs: DataFrame, settings: Sett
     rows = rows.withColumns({"parts": parts, "own": own}).withColumn("other", other)
     rows = rows.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     needed = needed_matches(settings)
-    names = ["key", "i", "j", "own", "node", "root", "n", "sig"]
+    names = ["key", "i", "j", "own", "node", "root", "n", "sig", "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the rows of a group may go on in the next batch
@@ -279,7 +282,7 @@ def _across(shared: DataFrame, roots: DataFrame, sigs: DataFrame, settings: Sett
 def _compare(
     table: pa.Table, bounds: np.ndarray, needed: list[tuple[int, int]], settings: Settings, best_only: bool
 ) -> pa.RecordBatch:
-    """Possible pairs across components within each group of rows.
+    """Possible pairs across components within each group of rows, each in its first common bucket only.
 
     ``i`` and ``j`` name the two blocks of a group; members of one block meet only in the group
     where both are that block. The members of the largest component are only ever partners.
@@ -287,12 +290,14 @@ def _compare(
     width, percent = settings.bands * settings.rows, settings.percent
     column = {c: table.column(c).to_numpy() for c in ("i", "j", "own", "node", "root", "n")}
     sigs = _bytes(table.column("sig"), width)
+    keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(-1, settings.bands)
+    bucket = table.column("key").to_numpy()
     found_a, found_b = [], []
     first = needed[0][0]
     for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
         part = slice(start, stop)
         node, root, own, size = (column[c][part] for c in ("node", "root", "own", "n"))
-        sig, same = sigs[part], column["i"][start] == column["j"][start]
+        sig, key, same = sigs[part], keys[part], column["i"][start] == column["j"][start]
         values, counts = np.unique(root, return_counts=True)
         if len(values) == 1:
             continue
@@ -311,10 +316,12 @@ def _compare(
             if not len(y):
                 continue
             alive, equal = compared(np.broadcast_to(sig[x], (len(y), width)), sig[y], needed)
-            if len(alive):
-                xs.append(np.full(len(alive), x))
-                ys.append(y[alive])
-                equals.append(equal)
+            y = y[alive]
+            here = key[x][(key[y] == key[x]).argmax(axis=1)] == bucket[start]
+            if here.any():
+                xs.append(np.full(here.sum(), x))
+                ys.append(y[here])
+                equals.append(equal[here])
         if not xs:
             continue
         x, y, equal = map(np.concatenate, (xs, ys, equals))
