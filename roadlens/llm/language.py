@@ -50,10 +50,13 @@ def sample(docs: DataFrame, lang: Column, settings: Settings) -> dict[str, str]:
         "doc_id", lang.alias("lang"), F.char_length("text").alias("n"), place.alias("place")
     )
     rows = rows.where(F.col("lang").isNotNull() & F.col("n").between(1, settings.longest))
-    # Ranks within 64 parts of each language first, so no language is sorted by one task.
-    for keys in (("lang", F.pmod("place", F.lit(64))), ("lang",)):
-        order = Window.partitionBy(*keys).orderBy("place", "doc_id")
-        rows = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.rows)
+    # About twice the wanted rows by a line through the hashes, then exact ranks among those.
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of"))
+    share = F.least(F.lit(1.0), F.lit(2.0 * settings.rows) / F.col("of"))
+    below = F.pmod("place", F.lit(1 << 40)) < share * F.lit(float(1 << 40))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    rows = rows.join(counts, "lang").where(below).withColumn("rank", F.row_number().over(order))
+    rows = rows.where(F.col("rank") <= settings.rows)
     # At most `rows` ids per language.
     ids = F.broadcast(rows.select("doc_id", "lang", "place").distinct())
     texts = docs.select("doc_id", "text").join(ids, "doc_id").where(
@@ -130,7 +133,7 @@ class Parser:
             fallen = np.where(start >= 0, start * self.width * 4 + 1, 2)
             fallen[0] = np.where(table[0] >= 0, 0, 1)
             moves = np.where(table >= 0, table * self.width * 4, fallen)
-            moves[:, pad] = 0
+            moves[:, pad] = np.arange(len(table)) * self.width * 4  # stays where it is
             self.moves.append(moves.astype(np.int32).ravel())
             self.bits.append(np.log2(len(codes) + 2))
 
@@ -148,7 +151,7 @@ class Parser:
                 step = moves[state + letters]
                 ended += step & 3
                 state = step >> 2
-            row[:] = ended
+            row[:] = ended - (state == 0)  # no phrase is open behind an unknown letter
         return totals
 
     def entropies(self, texts: Sequence[str]) -> np.ndarray:
