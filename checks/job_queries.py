@@ -8,9 +8,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.ml_queries import _EXACT, _risk, _risk_sql
+from checks.ml_queries import _risk, _risk_sql
 from checks.sensor_queries import _ALERTS, _BASE, _METRICS, _PRICES, rounded
 from checks.summary_queries import (
+    hour_level_table,
     _FLAT_WITH, _MIX_WITH, _PEAK_WITH, _TOTALS, _TRANSITIONS, _mix, _scored, risk_with,
 )
 from checks.views import VIEWS, half_up, view, with_views
@@ -149,7 +150,7 @@ def risk_summary_first_transitions(spark, folder):
 
 
 def first_hour_level_rows(spark, folder):
-    table = roads.hour_level_summary(_scored(spark, folder, "report"))
+    table = hour_level_table(_scored(spark, folder, "report"))
     first = table.orderBy("hour", "risk_level").limit(10)
     return rounded(first, 8, "avg_traffic", "avg_visibility", "avg_weather", "avg_risk")
 
@@ -179,7 +180,7 @@ def train_imputed(spark, folder):
     conditions = view(spark, folder, "road_conditions")
     numbers = ["visibility_in_miles", "air_pollution_index"]
     texts = ["weather_description"]
-    (filled,) = training.impute_from_train(conditions, [], numbers, texts, _EXACT)
+    (filled,) = training.impute_from_train(conditions, [], numbers, texts)
     return filled.select("event_id", *numbers, "weather_description")
 
 

@@ -12,7 +12,6 @@ from roadlens.ml import features, scoring, training
 from roadlens.operators import evaluation, junctions, requests, vehicles
 from roadlens.operators.lineage import staged
 
-_EXACT = 32_768  # sketches of this size hold all rows of the checked tables
 _WAVES = ["hour_sin", "hour_cos", "rolling_mean_3"]
 
 
@@ -25,7 +24,7 @@ def demand_features(spark, folder):
 
 
 def time_split_sizes(spark, folder):
-    train, test = features.time_split(_demand(spark, folder), k=_EXACT)
+    train, test = features.time_split(_demand(spark, folder))
     parts = train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
@@ -35,7 +34,7 @@ def time_split_sizes(spark, folder):
 
 
 def _risk(spark, folder):
-    return features.risk_features(view(spark, folder, "road_conditions"), _EXACT)
+    return features.risk_features(view(spark, folder, "road_conditions"))
 
 
 def risk_features(spark, folder):
@@ -53,7 +52,7 @@ def random_split_rows(spark, folder):
 
 def stratified_split_rows(spark, folder):
     rows = staged(_risk(spark, folder).select("event_id", "risk_level"))
-    train, test = features.stratified_split(rows, "event_id", "risk_level", k=_EXACT)
+    train, test = features.stratified_split(rows, "event_id", "risk_level")
     parts = train.withColumn("part", F.lit("train")).unionByName(
         test.withColumn("part", F.lit("test"))
     )
@@ -62,7 +61,7 @@ def stratified_split_rows(spark, folder):
 
 def stratified_folds(spark, folder):
     rows = staged(_risk(spark, folder).select("event_id", "risk_level"))
-    folded = features.with_folds(rows, "event_id", "risk_level", k=_EXACT)
+    folded = features.with_folds(rows, "event_id", "risk_level")
     return folded.select("event_id", "risk_level", "fold")
 
 

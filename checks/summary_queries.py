@@ -135,14 +135,32 @@ def risk_hour_extremes(spark, folder):
     return junctions.extremes(hourly_risk(spark, folder), ["hour"], "avg_risk_score")
 
 
+def _level_table(scored):
+    table = roads.from_cube(roads.cube(scored), "risk_level")
+    return table.select(
+        "risk_level", "records", "avg_traffic_volume", F.col("avg_visibility_in_miles").alias("avg_visibility")
+    )
+
+
+def hour_level_table(scored):
+    names = {
+        "avg_traffic_volume": "avg_traffic",
+        "avg_visibility_in_miles": "avg_visibility",
+        "avg_weather_severity": "avg_weather",
+        "avg_total_risk_score": "avg_risk",
+    }
+    table = roads.from_cube(roads.cube(scored), "hour", "risk_level")
+    return table.drop("records").withColumnsRenamed(names)
+
+
 def risk_level_summary(spark, folder):
     return rounded(
-        roads.level_summary(_scored(spark, folder)), 8, "avg_traffic_volume", "avg_visibility"
+        _level_table(_scored(spark, folder)), 8, "avg_traffic_volume", "avg_visibility"
     )
 
 
 def hour_level_risk(spark, folder):
-    table = roads.hour_level_summary(_scored(spark, folder, "report"))
+    table = hour_level_table(_scored(spark, folder, "report"))
     return rounded(table, 8, "avg_traffic", "avg_visibility", "avg_weather", "avg_risk")
 
 
@@ -159,7 +177,7 @@ def first_risk_transitions(spark, folder):
 
 def median_imputation(spark, folder):
     conditions = roads.with_hour(view(spark, folder, "road_conditions"))
-    filled = reshape.fill_medians(conditions, [*ROAD_NUMBERS, "hour"], k=32_768)
+    filled = reshape.fill_medians(conditions, [*ROAD_NUMBERS, "hour"])
     texts = ["weather_type", "weather_description"]
     return reshape.keep_known(reshape.fill_constants(filled, texts=texts), ["date_time"])
 

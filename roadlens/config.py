@@ -18,10 +18,6 @@ class Settings:
 
     # Rank error of the free-flow percentile of a sensor is 1 / quantile_accuracy.
     quantile_accuracy: int = 10_000
-    # Size of the sketches behind quantiles of whole tables; rank error about 0.13 %.
-    sketch_size: int = 4_096
-    # A key with more rows than this is cut into equal runs before any ordered window.
-    hot_rows: int = 1_000_000
 
 
 DEFAULTS = Settings()

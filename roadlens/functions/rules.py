@@ -92,7 +92,6 @@ SEVERITY_POINTS = ((4, 2), (2, 1))
 ADDITIVE_LEVELS = ((6, "Severe"), (4, "High"), (2, "Moderate"))
 BANDED_LEVELS = ((6, "Severe"), (4, "High"), (2, "Moderate"))
 LOWEST_LEVEL = "Low"
-RISK_LABELS = ("Low", "Moderate", "High", "Severe")
 RISK_REASONS = {
     "Severe": "High traffic + poor weather/visibility",
     "High": "Heavy traffic or bad weather",

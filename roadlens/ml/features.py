@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from roadlens.config import DEFAULTS, Settings
 from roadlens.functions import rules, scalars
 from roadlens.functions.bands import lookup
 from roadlens.operators import reshape
@@ -63,28 +62,30 @@ RISK_NUMBERS = (*ROAD_NUMBERS, "hour", *RISK_SCORES, RISK_TOTAL)
 RISK_NUMBERS_NO_LEAK = (*ROAD_NUMBERS, "hour")
 
 
-def demand_features(
-    counts: DataFrame, ties: Sequence[str] = (), settings: Settings = DEFAULTS
-) -> DataFrame:
+def demand_features(counts: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
     """Calendar features, three lags and the mean of the three rows before, per junction.
 
     Rows without a full set of features are dropped, so the first 24 of each junction are.
-    A junction may hold any share of the rows: hot junctions are windowed in runs.
+    Equal times are ordered by ``ties``, by default by all other columns.
+    A junction may hold any share of the rows: all are windowed in equal runs.
     """
     known = counts.where(F.col("Junction").isNotNull() & F.col("DateTime").isNotNull())
 
+    rest = [c for c in counts.columns if c not in ("Junction", "DateTime")]
+    line = rest if ties is None else ties
+
     def history(window: WindowSpec):
         columns = {f"lag_{k}": F.lag("Vehicles", k).over(window) for k in LAGS}
         before = window.rowsBetween(-ROLLING_ROWS, -1)
         return {**columns, "rolling_mean_3": F.avg("Vehicles").over(before)}
 
     rolled = ordered_columns(
-        known, ["Junction"], ["DateTime", *ties], max(LAGS), [history], settings.hot_rows
+        known, ["Junction"], ["DateTime", *line], max(LAGS), [history]
     )
     return rolled.withColumns(scalars.calendar_features(F.col("DateTime"))).dropna()
 
 
-def risk_features(roads: DataFrame, k: int = DEFAULTS.sketch_size) -> DataFrame:
+def risk_features(roads: DataFrame) -> DataFrame:
     """Risk scores and level from the raw values, then gaps filled.
 
     The level is fixed before the medians go in, so imputed values never change it.
@@ -93,7 +94,7 @@ def risk_features(roads: DataFrame, k: int = DEFAULTS.sketch_size) -> DataFrame:
     hour = F.hour("date_time")
     rush = F.when(rules.is_rush_hour(hour), "Yes").otherwise("No")
     scored = rules.score_risk(typed.withColumns({"hour": hour, "rush_hour": rush}), "training")
-    filled = reshape.fill_medians(scored, [*ROAD_NUMBERS, "hour"], k)
+    filled = reshape.fill_medians(scored, [*ROAD_NUMBERS, "hour"])
     named = reshape.fill_constants(filled, texts=RISK_TEXTS)
     return reshape.keep_known(named, ["date_time"])
 
@@ -126,10 +127,13 @@ def small_risk_features(roads: DataFrame) -> DataFrame:
 # sides then sees the same cut, and no row can fall on both sides or on none.
 
 
-def time_split(df: DataFrame, share: float = 0.8, k: int = DEFAULTS.sketch_size):
-    """Rows up to the given percentile of ``timestamp_seconds``, and the rows after it."""
-    (point,) = quantiles(df, ["timestamp_seconds"], [share], k).first()["timestamp_seconds"]
-    seconds, cut = F.col("timestamp_seconds"), F.lit(int(point))
+def time_split(df: DataFrame, share: float = 0.8):
+    """Rows up to the given percentile of ``timestamp_seconds``, and the rows after it.
+
+    Without any time both sides are empty.
+    """
+    (point,) = quantiles(df, ["timestamp_seconds"], [share]).first()["timestamp_seconds"]
+    seconds, cut = F.col("timestamp_seconds"), F.lit(None if point is None else int(point))
     return df.where(seconds <= cut), df.where(seconds > cut)
 
 
@@ -144,11 +148,17 @@ def uniform_place(key: str, seed: int) -> Column:
 
 
 def _class_cuts(
-    df: DataFrame, key: str, label: str, shares: Sequence[float], seed: int, k: int
+    df: DataFrame, key: str, label: str, shares: Sequence[float], seed: int
 ) -> list[Column]:
-    """Per share, the row's class's quantile of the hash, as a constant map over the classes."""
-    hashed = df.select(label, scalars.uniform_hash(F.col(key), seed).alias("h"))
-    rows = quantiles(hashed, ["h"], shares, k, by=[label]).collect()
+    """Per share, the row's class's quantile of the hash, as a constant map over the classes.
+
+    Rows without a label have no class and so no cut. One row per class is read.
+    """
+    labelled = df.where(F.col(label).isNotNull())
+    hashed = labelled.select(label, scalars.uniform_hash(F.col(key), seed).alias("h"))
+    rows = quantiles(hashed, ["h"], shares, by=[label]).collect()
+    if not rows:
+        return [F.lit(None).cast("long")] * len(shares)
     return [
         lookup(F.col(label), {row[label]: int(row["h"][place]) for row in rows})
         for place in range(len(shares))
@@ -161,10 +171,12 @@ def stratified_split(
     label: str,
     share: float = 0.8,
     seed: int = 42,
-    k: int = DEFAULTS.sketch_size,
 ):
-    """Like random_split, but each class is cut at its own percentile of the hash."""
-    (cut,) = _class_cuts(df, key, label, [share], seed, k)
+    """Like random_split, but each class is cut at its own percentile of the hash.
+
+    Rows without a label are on neither side.
+    """
+    (cut,) = _class_cuts(df, key, label, [share], seed)
     hashed = scalars.uniform_hash(F.col(key), seed)
     return df.where(hashed <= cut), df.where(hashed > cut)
 
@@ -175,12 +187,14 @@ def with_folds(
     label: str,
     folds: int = 3,
     seed: int = 42,
-    k: int = DEFAULTS.sketch_size,
 ) -> DataFrame:
-    """Adds ``fold``: equal shares of every class, by percentiles of the seeded hash."""
+    """Adds ``fold``: equal shares of every class, by percentiles of the seeded hash.
+
+    Rows without a label have no fold.
+    """
     hashed = scalars.uniform_hash(F.col(key), seed)
     shares = [(i + 1) / folds for i in range(folds - 1)]
     above = [
-        (hashed > cut).cast("int") for cut in _class_cuts(df, key, label, shares, seed, k)
+        (hashed > cut).cast("int") for cut in _class_cuts(df, key, label, shares, seed)
     ]
     return df.withColumn("fold", sum(above, F.lit(0)))

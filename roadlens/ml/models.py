@@ -21,7 +21,7 @@ from roadlens.ml import features
 SEED = 42
 LABEL = "label"
 # Trees that the original grows without a depth limit; Spark itself stops at 30.
-DEEP = 15
+DEEP = 30
 # More node statistics per pass over the rows means fewer passes.
 _FOREST = {"seed": SEED, "maxMemoryInMB": 1024}
 

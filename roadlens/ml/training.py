@@ -113,13 +113,12 @@ def impute_from_train(
     others: Sequence[DataFrame],
     numbers: Sequence[str],
     texts: Sequence[str],
-    k: int = DEFAULTS.sketch_size,
 ) -> list[DataFrame]:
     """Fill gaps in all tables with the training rows' medians and commonest texts.
 
     One value per column is read once, so every table gets the same filling.
     """
-    filling = medians(train, numbers, k).first().asDict()
+    filling = medians(train, numbers).first().asDict()
     for name in texts:
         if (row := most_frequent(train, name).first()) is not None:
             filling[name] = row[name]

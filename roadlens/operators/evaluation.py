@@ -20,8 +20,11 @@ def distinct_labels(df: DataFrame, label: str) -> DataFrame:
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Per class: its rows and total rows / (number of classes * rows of the class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Per class: its rows and total rows / (number of classes * rows of the class).
+
+    Rows without a label belong to no class and count nowhere.
+    """
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     everything = counts.agg((F.sum("n") / F.count(F.lit(1))).alias("mean")).scalar()
     return counts.withColumn("weight", everything / F.col("n"))
 

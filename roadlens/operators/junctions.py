@@ -99,9 +99,13 @@ def by(labeled: DataFrame, *keys: str, fare_average: bool = False) -> DataFrame:
     return labeled.groupBy(*keys).agg(*_totals(fare_average))
 
 
-def hourly(labeled: DataFrame, hours: int = 24) -> DataFrame:
-    """Hour table in hour order; ``hours`` keeps the first hours of the day only."""
-    return by(labeled, "hour_of_day").orderBy("hour_of_day").limit(hours)
+def hourly(labeled: DataFrame, hours: int | None = None) -> DataFrame:
+    """Hour table in hour order; ``hours`` keeps the first so many rows only.
+
+    Rows without a readable time are a group of their own, which comes first.
+    """
+    table = by(labeled, "hour_of_day").orderBy("hour_of_day")
+    return table if hours is None else table.limit(hours)
 
 
 def extremes(grouped: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +21,7 @@ def checkpoint_folder(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
         folder = tempfile.mkdtemp(prefix="road-checkpoints-")
     context.setCheckpointDir(folder)
@@ -45,3 +48,26 @@ def staged(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "staged")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, whichever that is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A ``staged`` whose tables are removed at the end; nothing lazy may outlive the block."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        paths.append(new_folder(spark, "staged"))
+        df.write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            remove(spark, path)

@@ -1,9 +1,9 @@
 """Ordered windows and joins that stay balanced when one key holds a large share of the rows.
 
-Cold keys take the plain route: one hash exchange on the key. Keys with more than
-``hot_rows`` rows are range-partitioned on (key, order) into equal runs, and each run
-also receives the few rows before it that its frames reach back to. Both routes give
-every row exactly the frame a window over the whole key would give.
+Rows are range-partitioned on (key, order) into equal runs, whatever the keys hold, and each run
+also receives the few rows before it that its frames reach back to. Every row so gets exactly the
+frame a window over its whole key would give. This costs two full shuffles: one by range, one that
+brings the runs and their borrowed rows together.
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from roadlens.operators.lineage import cut
 
-# At most this many hot keys are ever broadcast. A key outside this list holds
-# less than 1 / HOT_KEYS of all rows.
-HOT_KEYS = 1_000
-
 Step = Callable[[WindowSpec], dict[str, Column]]
 
 
@@ -26,65 +22,34 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int, n: str = "n") -> DataFrame:
-    """The heaviest keys above ``hot_rows``, never more than HOT_KEYS rows."""
-    heavy = counts.where(F.col(n) > hot_rows).orderBy(F.col(n).desc(), *keys)
-    return heavy.limit(HOT_KEYS).select(*keys)
-
-
 def ordered_columns(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     depth: int,
     steps: Sequence[Step],
-    hot_rows: int,
     per_key: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``depth`` rows back.
 
     Each step maps a window (partitioned and ordered) to new columns; a later step may
     use columns of an earlier one, and ``depth`` then is the sum of their reaches.
-    ``per_key`` is an optional table with one row per key and its row count ``n``; its
-    other columns are joined to every row on the way. Without ``keys`` the whole table
-    is one ordered sequence.
+    ``per_key`` is an optional table with one row per key; its columns are joined to every
+    row on the way, and AQE splits that join where a key is hot. Without ``keys`` the whole
+    table is one ordered sequence.
     """
-    if not keys:
-        return _in_runs(df, keys, order, depth, steps)
-    counts = per_key
-    if counts is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_keys(counts, keys, hot_rows))
-    cold_rows = df.join(hot, list(keys), "left_anti")
-    hot_rows_only = df.join(hot, list(keys), "left_semi")
     if per_key is not None:
-        extra = per_key.drop("n")
-        cold_rows = cold_rows.join(extra, list(keys))
-        # One row per hot key, so again at most HOT_KEYS rows.
-        few = F.broadcast(extra.join(hot, list(keys), "left_semi"))
-        hot_rows_only = hot_rows_only.join(few, list(keys))
-    whole = _apply(cold_rows, Window.partitionBy(*keys).orderBy(*order), steps)
-    return whole.unionByName(_in_runs(hot_rows_only, keys, order, depth, steps))
-
-
-def _apply(df: DataFrame, window: WindowSpec, steps: Sequence[Step]) -> DataFrame:
-    for step in steps:
-        df = df.withColumns(step(window))
-    return df
-
-
-def _in_runs(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int, steps: Sequence[Step]
-) -> DataFrame:
-    cut = range_runs(df, [*keys, *order], descending=True)
+        df = df.join(per_key, list(keys))
+    runs = range_runs(df, [*keys, *order], descending=True)
     # The last rows of a run also go to the next `depth` runs. No run between two others
     # is empty, so `depth` rows back never lies more than `depth` runs back.
     homes = F.when(
         F.col("_place") < depth, F.sequence(F.col("_run"), F.col("_run") + depth)
     ).otherwise(F.array("_run"))
-    placed = cut.withColumn("_home", F.explode(homes))
+    done = runs.withColumn("_home", F.explode(homes))
     window = Window.partitionBy("_home", *keys).orderBy(*order)
-    done = _apply(placed, window, steps)
+    for step in steps:
+        done = done.withColumns(step(window))
     return done.where(F.col("_home") == F.col("_run")).drop("_run", "_place", "_home")
 
 
@@ -107,32 +72,6 @@ def range_runs(df: DataFrame, line: Sequence[str], descending: bool = False) ->
     )
 
 
-def salted_join(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    hot: DataFrame,
-    spread: Column,
-    salts: int,
-    how: str = "inner",
-) -> DataFrame:
-    """Equi-join on ``key`` where ``rows`` may hold many rows of a hot key.
-
-    Rows of a hot key are dealt over ``salts`` buckets by the hash of ``spread``; only the
-    table's rows of hot keys are repeated, once per bucket. ``hot`` comes from hot_keys().
-    """
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    bucket = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0)
-    dealt = rows.join(flag, key, "left").withColumn("_salt", bucket.cast("int")).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    repeated = (
-        table.join(flag, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    )
-    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
-
-
 def running_totals(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]
 ) -> DataFrame:

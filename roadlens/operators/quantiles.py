@@ -1,35 +1,92 @@
-"""Quantiles over whole tables or big classes, by sketches that are merged in two steps.
+"""Exact quantiles of whole tables or classes, selected by counting.
 
-A plain approximate percentile sends the sketch of every task to one reducer. Here the
-sketches of all tasks are first merged in parallel, so the last reducer gets a fixed number
-of them. Up to ``k`` values the answer is exact: the smallest value with at least the given
-share of the rows at or below it. Beyond, the rank error is about 2.3 / k ** 0.9.
+The quantile of a share is the smallest value with at least that share of the rows at or below it. Each
+round counts the rows of the interval that holds the wanted rank in equal bins, and goes on inside the
+one bin that holds it, until that bin has a single value. Every round is one grouped count, combined
+before its shuffle; no row is sorted or collected, and the table read is narrow. Nulls and NaN are
+passed over; infinite values count as the largest finite ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.operators.ordered import shuffle_width
+from roadlens.operators.lineage import staging
 
+BINS = 1_024
+_MOST = 1.7976931348623157e308
 
-def _quantile(sketch: str, share: float) -> Column:
-    known = F.kll_sketch_get_n_double(sketch) > 0
-    return F.when(known, F.kll_sketch_get_quantile_double(sketch, F.lit(share)))
+
+def _finite(name: str) -> Column:
+    value = F.col(name).cast("double")
+    return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(F.least(value, F.lit(_MOST)), F.lit(-_MOST)))
 
 
 def quantiles(
-    df: DataFrame, columns: Sequence[str], shares: Sequence[float], k: int, by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """One row (per group) with an array of quantiles for every column; null without a value."""
-    merges = F.pmod(F.spark_partition_id(), F.lit(shuffle_width(df.sparkSession)))
-    numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    parts = numbers.withColumn("_merge", merges).groupBy("_merge", *by)
-    sketched = parts.agg(*[F.kll_sketch_agg_double(c, F.lit(k)).alias(c) for c in columns])
-    merged = [F.kll_merge_agg_double(c, F.lit(k)).alias(c) for c in columns]
-    whole = sketched.groupBy(*by).agg(*merged) if by else sketched.agg(*merged)
-    answers = [F.array(*[_quantile(c, share) for share in shares]).alias(c) for c in columns]
-    return whole.select(*by, *answers)
+    groups = [f"g{i}" for i in range(len(by))]
+    values = [f"v{i}" for i in range(len(columns))]
+    with staging(df.sparkSession) as stage:
+        table = stage(
+            df.select(
+                *[F.col(name).alias(g) for name, g in zip(by, groups)],
+                *[_finite(name).alias(v) for name, v in zip(columns, values)],
+            )
+        )
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(v).alias("v")) for i, v in enumerate(values)]))
+        long = table.select(*groups, cells.alias("cell")).select(*groups, "cell.c", "cell.v")
+        long = long.where(F.col("v").isNotNull())
+        known = long.groupBy(*groups, "c").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        )
+        each = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.lit(float(x)).alias("share")) for i, x in enumerate(shares)]))
+        # Rank of the quantile among the rows of its interval, from 1.
+        rank = F.greatest(F.lit(1), F.ceil(F.round(F.col("each.share") * F.col("n"), 9)))
+        state = known.withColumn("each", each).select(*groups, "c", "each.s", "low", "high", rank.alias("rank"))
+        state = stage(state)
+        while not state.where(F.col("low") < F.col("high")).isEmpty():
+            state = stage(_narrowed(long, state, groups))
+        wide = [
+            F.array(*[F.max(F.when((F.col("c") == i) & (F.col("s") == j), F.col("low"))) for j in range(len(shares))])
+            for i in range(len(columns))
+        ]
+        # A group may have no value at all; it still gets its row.
+        every = table.select(*groups).distinct() if by else table.sparkSession.range(1).select()
+        if by:
+            found = state.select(*[F.col(g).alias(f"_{g}") for g in groups], "c", "s", "low")
+            same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
+            result = every.join(found, same, "left").groupBy(*groups).agg(*[w.alias(c) for w, c in zip(wide, columns)])
+        else:
+            result = state.agg(*[w.alias(c) for w, c in zip(wide, columns)])
+        named = result.withColumnsRenamed(dict(zip(groups, by)))
+        return named.sparkSession.createDataFrame(named.collect(), named.schema)
+
+
+def _narrowed(long: DataFrame, state: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The bin of each open interval that holds its rank."""
+    # One row per group, column and share.
+    targets = state.withColumnsRenamed({g: f"_{g}" for g in groups} | {"c": "_c"})
+    inside = (F.col("c") == F.col("_c")) & F.col("v").between(F.col("low"), F.col("high"))
+    for g in groups:
+        inside &= F.col(g).eqNullSafe(F.col(f"_{g}"))
+    # Halves, so that the width of an interval is finite.
+    width = F.col("high") / 2 - F.col("low") / 2
+    place = F.floor(F.try_divide(F.col("v") / 2 - F.col("low") / 2, width) * BINS)
+    bin_ = F.least(F.lit(BINS - 1), F.coalesce(place, F.lit(0)))
+    keys = [*groups, "c", "s"]
+    bins = long.join(targets, inside).withColumn("bin", bin_).groupBy(*keys, "bin").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.first("rank").alias("rank"),
+    )
+    line = Window.partitionBy(*keys).orderBy("bin")  # at most BINS rows
+    before = F.coalesce(F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = bins.withColumn("before", before)
+    holds = (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n"))
+    return bins.where(holds).select(*keys, "low", "high", (F.col("rank") - F.col("before")).alias("rank"))

@@ -26,24 +26,6 @@ REQUIRED_MESSAGE = "{} is required."
 NUMBER_MESSAGE = "{} must be a valid number."
 HOUR_MESSAGE = "hour must be between 0 and 23."
 NEGATIVE_MESSAGE = "{} cannot be negative."
-EXAMPLE_REQUEST = {
-    "hour": 9,
-    "junction": 2,
-    "car_count": 35,
-    "bike_count": 8,
-    "bus_count": 3,
-    "truck_count": 4,
-    "traffic_volume": 5200,
-    "air_pollution_index": 132,
-    "humidity": 78,
-    "visibility_in_miles": 3,
-    "temperature": 289.4,
-    "rain_p_h": 0.2,
-    "snow_p_h": 0.0,
-    "weather_type": "Clouds",
-    "weather_description": "broken clouds",
-    "day_of_week": "Tuesday",
-}
 WHOLE_NUMBER = r"^[+-]?\d+$"
 DECIMAL_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
 # End of fixed values.

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.config import DEFAULTS
 from roadlens.functions import scalars
 from roadlens.operators.quantiles import quantiles
 
@@ -69,24 +68,18 @@ def fill_constants(
     return df.fillna(values) if values else df
 
 
-def medians(df: DataFrame, columns: Sequence[str], k: int = DEFAULTS.sketch_size) -> DataFrame:
+def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: the median of every column, all in one pass; no value gives 0.0."""
-    row = quantiles(df, columns, [0.5], k)
+    row = quantiles(df, columns, [0.5])
     return row.select(*[F.coalesce(F.col(c)[0], F.lit(0.0)).alias(c) for c in columns])
 
 
-def fill_medians(
-    df: DataFrame, columns: Sequence[str], k: int = DEFAULTS.sketch_size
-) -> DataFrame:
+def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing numbers become the column's median over the whole table, kept in its type."""
-    row = medians(df, columns, k)
+    row = medians(df, columns)
     kinds = dict(df.dtypes)
     one = row.select(F.struct(*columns).alias("medians")).scalar()
     return df.withColumns(
         {c: F.coalesce(F.col(c), one.getField(c).cast(kinds[c])) for c in columns}
     )
 
-
-def select_fixed(df: DataFrame, names: Sequence[str], constants: Mapping[str, object] = {}):
-    """The named columns in the given order, plus constant columns."""
-    return df.select(*names, *[F.lit(value).alias(name) for name, value in constants.items()])

@@ -88,8 +88,7 @@ def sensor_facts(
         order=["timestamp"],
         depth=back + 1,
         steps=[changes, trailing] if once else [repeats, changes, trailing],
-        hot_rows=settings.hot_rows,
-        per_key=profile.drop("known", "latest"),
+        per_key=profile.drop("n", "known", "latest"),
     ).drop("copies")
     proxy, hour = F.col("density_proxy"), F.col("hour_of_day")
     return rolled.withColumns(

@@ -71,7 +71,7 @@ def _risk_tables(scored: DataFrame, ties: Sequence[str], limit: int, settings: S
     partial = staged(roads.cube(scored))
     hourly = roads.from_cube(partial, "hour").select("hour", "avg_total_risk_score")
     line = ["date_time", *ties]
-    changes = roads.transitions(scored, line, settings)
+    changes = roads.transitions(scored, line)
     return partial, {
         "hour_extremes": junctions.extremes(hourly, ["hour"], "avg_total_risk_score"),
         "hourly": hourly.orderBy("hour"),

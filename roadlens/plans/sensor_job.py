@@ -71,7 +71,7 @@ def routes(
     """Cheapest routes for a table of (source, target) under the latest congestion."""
     readings = readers.sensor_readings(spark, layout)
     latest = routing.latest_congestion(readings, settings, readers.sensor_list(spark, layout))
-    return routing.least_cost_routes(pairs, readers.road_edges(spark, layout), latest, settings)
+    return routing.least_cost_routes(pairs, readers.road_edges(spark, layout), latest)
 
 
 def dashboard(spark: SparkSession, output: str, sensor_id: str | None = None):

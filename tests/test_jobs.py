@@ -8,6 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from samples import REQUEST
+
 from roadlens import schemas
 from roadlens.config import DatasetLayout
 from roadlens.ml import scoring, training
@@ -213,7 +215,7 @@ def test_request_models_are_trained_once(spark, counts, mix, conditions, tmp_pat
         training_jobs.request_models(*args, small)
     facts = sinks.model_facts(spark, str(tmp_path / "risk")).first()
     assert facts["model_type"] == "classification" and facts["target_name"] == "risk_level"
-    raw = spark.createDataFrame([{"id": 1, **{k: str(v) for k, v in requests.EXAMPLE_REQUEST.items()}}])
+    raw = spark.createDataFrame([{"id": 1, **{k: str(v) for k, v in REQUEST.items()}}])
     valid = requests.validate(raw).drop("errors")
     answers = scoring.compare_requests(valid, "id", **loaded).collect()
     assert [a["model_name"] for a in answers] == [n for n, _ in scoring.MODEL_NAMES.values()]

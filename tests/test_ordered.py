@@ -62,15 +62,14 @@ def collected(df):
 
 
 @pytest.mark.parametrize("depth", [1, 4, 24])
-@pytest.mark.parametrize("hot_rows", [10**9, 50, 5, 0])
-def test_hot_and_cold_keys_match_plain_windows(spark, skewed, depth, hot_rows):
-    got = ordered.ordered_columns(skewed, ["k"], ["t", "id"], depth, steps(depth), hot_rows)
+def test_hot_and_cold_keys_match_plain_windows(spark, skewed, depth):
+    got = ordered.ordered_columns(skewed, ["k"], ["t", "id"], depth, steps(depth))
     assert collected(got) == collected(plain(skewed, ["k"], ["t", "id"], depth))
 
 
 @pytest.mark.parametrize("depth", [1, 13])
 def test_whole_table_as_one_sequence(spark, skewed, depth):
-    got = ordered.ordered_columns(skewed, [], ["t", "id"], depth, steps(depth), 1)
+    got = ordered.ordered_columns(skewed, [], ["t", "id"], depth, steps(depth))
     want = plain(skewed.withColumn("one", F.lit(1)), ["one"], ["t", "id"], depth)
     assert collected(got) == collected(want)
     assert "SinglePartition" not in got._jdf.queryExecution().toString()
@@ -81,24 +80,10 @@ def test_fewer_rows_than_runs(spark):
         [(i, "a", datetime(2024, 1, 1, i), float(i)) for i in range(5)],
         "id int, k string, t timestamp_ntz, v double",
     )
-    got = ordered.ordered_columns(few, ["k"], ["t", "id"], 4, steps(4), 0)
+    got = ordered.ordered_columns(few, ["k"], ["t", "id"], 4, steps(4))
     assert collected(got) == collected(plain(few, ["k"], ["t", "id"], 4))
 
 
-def test_sensor_facts_same_for_hot_sensors(spark, skewed):
-    readings = skewed.select(
-        F.col("t").alias("timestamp"), F.col("k").alias("sensor_id"), F.col("v").alias("speed")
-    ).dropDuplicates(["timestamp", "sensor_id"]).cache()
-    columns = ["timestamp", "sensor_id", "avg_speed_1h", "speed_std_1h", "speed_trend",
-               "density_score", "sensor_std_speed"]
-
-    def facts(hot_rows):
-        table = sensors.sensor_facts(readings, Settings(hot_rows=hot_rows))
-        return sorted(tuple(r) for r in table.select(*columns).collect())
-
-    assert facts(20) == facts(10**9)
-
-
 def test_running_totals_and_positions(spark, skewed):
     got = ordered.running_totals(skewed.withColumn("n", F.col("id") % 5), ["k"], ["t", "id"], ["n"])
     window = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
@@ -113,16 +98,6 @@ def test_running_totals_and_positions(spark, skewed):
     assert [r[1:] for r in placed] == sorted(r[1:] for r in placed)
 
 
-def test_salted_join_equals_join(spark, skewed):
-    table = spark.createDataFrame([("hot", 1), ("k1", 2), ("k1", 3), ("none", 4)], "k string, w int")
-    counts = skewed.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    hot = ordered.hot_keys(counts, ["k"], 100)
-    assert [r["k"] for r in hot.collect()] == ["hot"]
-    got = ordered.salted_join(skewed, table, "k", hot, F.col("id"), 8).select("id", "k", "w")
-    want = skewed.join(table, "k").select("id", "k", "w")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-
-
 def test_transitions_across_midnight_and_gaps(spark):
     rows = [
         (1, datetime(2024, 1, 1, 23), "clear", 0.0),

@@ -1,12 +1,14 @@
 """Request validation and its messages."""
 
+from samples import REQUEST
+
 from roadlens.operators import requests
 
 
 def checked(spark, *changes):
     rows = []
     for number, change in enumerate(changes):
-        row = {k: str(v) for k, v in requests.EXAMPLE_REQUEST.items()} | change
+        row = {k: str(v) for k, v in REQUEST.items()} | change
         rows.append((number, *[row.get(f) for f in requests.FIELDS]))
     ddl = "id int, " + ", ".join(f"{f} string" for f in requests.FIELDS)
     return requests.validate(spark.createDataFrame(rows, ddl)).orderBy("id").collect()
@@ -15,7 +17,7 @@ def checked(spark, *changes):
 def test_example_is_valid(spark):
     (row,) = checked(spark, {})
     assert row["errors"] == []
-    assert {f: row[f] for f in requests.FIELDS} == requests.EXAMPLE_REQUEST
+    assert {f: row[f] for f in requests.FIELDS} == REQUEST
 
 
 def test_one_message_each(spark):
