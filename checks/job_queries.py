@@ -203,7 +203,9 @@ def situation_job_document(spark, folder):
     training_jobs.situation(
         _mix(spark, folder), "slot", output, trees=5, depth=4, rounds=1, boosted_depth=2
     )
-    return spark.read.json(f"{output}/metrics_summary.json").select("best_model", "metrics_0")
+    return spark.read.json(f"{output}/metrics_summary.json").select(
+        "best_model", F.col("models")[0]["metrics"].alias("metrics")
+    )
 
 
 QUERIES = {

@@ -467,7 +467,8 @@ UNION ALL SELECT 'weighted avg', {_WEIGHTED}, CAST(sum(support) AS BIGINT) FROM
 SELECT round(sum(hits) / sum(support), 8) AS accuracy, {_WEIGHTED} FROM report""",
     "roc_points": _classified_sql() + """
 SELECT label, round(score, 8) AS threshold, round(fp / n, 8) AS false_positive_rate,
-  round(tp / p, 8) AS true_positive_rate FROM curve WHERE p > 0 AND n > 0""",
+  round(tp / p, 8) AS true_positive_rate FROM curve WHERE p > 0 AND n > 0
+UNION ALL SELECT DISTINCT label, NULL, 0.0::DOUBLE, 0.0::DOUBLE FROM curve WHERE p > 0 AND n > 0""",
     "class_auc": _classified_sql() + "SELECT * FROM areas",
     "weighted_auc": _classified_sql() + """
 SELECT round(sum(neg_share * p) / (SELECT sum(support) FROM areas), 8) AS roc_auc_ovr_weighted

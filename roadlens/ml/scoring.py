@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -49,11 +49,21 @@ def predict_classes(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def with_confidence(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Adds the predicted class and its probability; no probability gives no confidence."""
+    """Adds the predicted class and its probability.
+
+    One-vs-rest models have a raw score per class: each becomes the probability its own model
+    gives the class, and these are normalised over the classes.
+    """
     scored = predict_classes(model, rows)
-    known = "probability" in scored.columns
-    best = F.round(F.array_max("scores"), 4) if known else F.lit(None).cast("double")
-    return scored.withColumn("confidence_score", best)
+    chances = F.col("scores")
+    if "probability" not in scored.columns:
+        inner = model.stages[-1].models[0]
+        # Boosted trees are fitted to labels -1 and 1, so their odds are of twice the margin.
+        slope = 2.0 if isinstance(inner, GBTClassificationModel) else 1.0
+        each = F.transform("scores", lambda raw: 1 / (1 + F.exp(-slope * raw)))
+        total = F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
+        chances = F.transform(each, lambda chance: chance / total)
+    return scored.withColumn("confidence_score", F.round(F.array_max(chances), 4))
 
 
 def with_features_array(scored: DataFrame) -> DataFrame:
@@ -69,26 +79,17 @@ def volume_with_confidence(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Predicted volume, and 1 - spread of the trees / max(|prediction|, 1) kept in 0..1."""
     scored = model.transform(rows)
     forest = model.stages[-1]
-    votes = []
+    inputs = scored.columns
     for place, tree in enumerate(forest.trees):
-        vote = f"_vote_{place}"
-        scored = tree.setPredictionCol(vote).transform(scored)
-        votes.append(F.col(vote))
-    n = F.lit(float(len(votes)))
-    mean = reduce(lambda a, b: a + b, votes) / n
-    spread = F.sqrt(
-        F.aggregate(
-            F.array(*votes), F.lit(0.0), lambda total, v: total + F.pow(v - F.col("_mean"), 2)
-        )
-        / n
-    )
+        scored = tree.setPredictionCol(f"_vote_{place}").transform(scored)
+    votes = F.array(*[F.col(f"_vote_{place}") for place in range(len(forest.trees))])
+    # The forest's own prediction is the mean of its trees.
+    squares = F.transform("_votes", lambda vote: F.pow(vote - F.col("prediction"), 2))
+    spread = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, b: a + b) / F.size("_votes"))
     relative = spread / F.greatest(F.abs("prediction"), F.lit(1.0))
     confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - relative))
-    return (
-        scored.withColumn("_mean", mean)
-        .withColumn("confidence_score", F.round(confidence, 4))
-        .drop("_mean", *[f"_vote_{i}" for i in range(len(votes))])
-    )
+    narrow = scored.select(*inputs, votes.alias("_votes"))
+    return narrow.withColumn("confidence_score", F.round(confidence, 4)).drop("_votes")
 
 
 # Names of the three request models and of what they predict.

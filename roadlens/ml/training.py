@@ -29,7 +29,7 @@ class Fitted:
 
 def evaluate_classes(name: str, model: PipelineModel, test: DataFrame, label: str) -> Fitted:
     """Score the hold-out rows once; every quality table is a count over those scores."""
-    scored = scoring.predict_classes(model, test).withColumn("actual", F.col(label))
+    scored = staged(scoring.predict_classes(model, test).withColumn("actual", F.col(label)))
     names = scoring.class_names(model)
     matrix = evaluation.confusion(scored, names)
     metrics = evaluation.classification_metrics(matrix).select(
@@ -46,10 +46,10 @@ def train_volume(
     depth: int = 12,
 ) -> Fitted:
     """Demand forecast: chronological split, forest, predicted volume and fare."""
-    data = staged(features.demand_features(counts, ties, settings))
+    data = staged(features.demand_features(counts, ties))
     train, test = features.time_split(data)
     model = models.volume_forecaster(trees, depth).fit(train)
-    predictions = scoring.with_fare(model.transform(test))
+    predictions = staged(scoring.with_fare(model.transform(test)))
     name = "Volume forest"
     metrics = evaluation.regression_metrics(predictions).withColumn("model", F.lit(name))
     return Fitted(name, model, predictions, metrics)

@@ -129,7 +129,8 @@ def roc_points(
 
     ``scores`` is an array in the order of ``labels``. Equal scores are counted first; the
     cumulative counts come from running_totals, so no class is gathered in one task. Classes
-    that are all positive or all negative have no curve.
+    that are all positive or all negative have no curve. Every curve starts at (0, 0), above
+    any score, with a null threshold.
     """
     each = F.explode(
         F.array(
@@ -158,7 +159,14 @@ def roc_points(
         .agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
         .where((F.col("p") > 0) & (F.col("n") > 0))
     )
-    return running.join(totals, "label").select(
+    start = totals.select(
+        "label",
+        F.lit(None).cast("double").alias("descending"),
+        *[F.lit(0).cast("long").alias(c) for c in ("positives", "negatives", "positives_to_here", "negatives_to_here")],
+        "p",
+        "n",
+    )
+    return running.join(totals, "label").unionByName(start).select(
         "label",
         (-F.col("descending")).alias("threshold"),
         (F.col("negatives_to_here") / F.col("n")).alias("false_positive_rate"),
@@ -236,7 +244,8 @@ def permutation_importance(
 
     ``predict`` adds a ``predicted`` column in the terms of ``actual``. A random deal is the
     join of the rows in one seeded order with the rows in another. All features are scored in
-    one pass: every row appears once per feature, with that feature replaced, and once as is.
+    one pass: every row appears once per feature, with that feature replaced, and in the first
+    repeat once as is.
     """
     base = row_positions(
         rows.select(key, actual, *features).withColumn("_h", uniform_hash(F.col(key), seed)),
@@ -256,7 +265,7 @@ def permutation_importance(
                 F.lit(changed).alias("feature"),
                 *[F.col(f"_other_{f}" if f == changed else f).alias(f) for f in features],
             )
-            for changed in ("", *features)
+            for changed in (("", *features) if repeat == 1 else features)
         ]
         every = paired.select(actual, F.explode(F.array(*versions)).alias("v"))
         scored = predict(every.select(actual, "v.*"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULTS, DatasetLayout, Settings
 from roadlens.operators import routing, sensors
-from roadlens.operators.lineage import staged
+from roadlens.operators.lineage import staging
 from roadlens.sources import readers, sinks
 
 
@@ -37,15 +37,16 @@ def run(
     """Write all result tables and ``summary.json`` under ``output``; returns the summary row.
 
     The text is parsed once, the sensors are profiled once, and grouping and windows run once,
-    each into a staged table; every result is a narrow scan of the last. The profile's stored
+    each into a staged table that is removed at the end; every result is a narrow scan of the last. The profile's stored
     size also lets Spark decide on a broadcast before it shuffles any reading.
     """
-    readings = staged(readers.sensor_readings(spark, layout))
-    listed = readers.sensor_list(spark, layout)
-    profile = staged(sensors.sensor_profile(readings, settings, listed))
-    facts = staged(sensors.sensor_facts(readings, settings, profile=profile))
-    for name, table in result_tables(facts, settings).items():
-        sinks.write_table(table, f"{output}/{name}")
+    with staging(spark) as stage:
+        readings = stage(readers.sensor_readings(spark, layout))
+        listed = readers.sensor_list(spark, layout)
+        profile = stage(sensors.sensor_profile(readings, settings, listed))
+        facts = stage(sensors.sensor_facts(readings, settings, profile=profile))
+        for name, table in result_tables(facts, settings).items():
+            sinks.write_table(table, f"{output}/{name}")
     counts = {
         field: sinks.rows_written(spark, f"{output}/{name}") for field, name in COUNTED.items()
     }

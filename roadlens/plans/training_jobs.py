@@ -29,7 +29,8 @@ def sample_predictions(predictions: DataFrame, columns: Sequence[str], key: str)
 def metrics_document(
     results: Sequence[Fitted], winner: Fitted, report: dict[str, DataFrame]
 ) -> DataFrame:
-    """One row: the winner, and per model its metrics, class report and confusion matrix."""
+    """One row: the winner, and an array ``models`` with the name of each model, its metrics,
+    class report and confusion matrix."""
     spark = winner.metrics.sparkSession
     parts = {}
     for number, result in enumerate(results):
@@ -37,11 +38,16 @@ def metrics_document(
         parts[f"metrics_{number}"] = result.metrics
         parts[f"classification_report_{number}"] = evaluation.full_report(matrix)
         parts[f"confusion_matrix_{number}"] = matrix
-    for name in ("roc_auc", "feature_importance_top20"):
-        if name in report:
-            parts[name] = report[name]
-    names = {f"model_{number}": result.name for number, result in enumerate(results)}
-    return sinks.document(spark, {"best_model": winner.name, **names}, parts)
+    own = ("metrics", "classification_report", "confusion_matrix")
+    models = F.array(
+        *[
+            F.struct(F.lit(result.name).alias("model_name"), *[F.col(f"{part}_{i}").alias(part) for part in own])
+            for i, result in enumerate(results)
+        ]
+    )
+    extra = {name: report[name] for name in ("roc_auc", "feature_importance_top20") if name in report}
+    row = sinks.document(spark, {"best_model": winner.name}, {**parts, **extra})
+    return row.withColumn("models", models).drop(*parts)
 
 
 def demand(

@@ -188,7 +188,7 @@ def test_situation_job(spark, mix, tmp_path):
     assert table.count() == 2
     document = spark.read.json(str(tmp_path / "metrics_summary.json")).first()
     assert document["best_model"] == winner.name
-    assert len(document["confusion_matrix_0"]) == 16
+    assert len(document["models"][0]["confusion_matrix"]) == 16
     names = [r["feature"] for r in spark.read.parquet(str(tmp_path / "importances")).collect()]
     assert "Total" in names
 
