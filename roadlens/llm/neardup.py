@@ -366,7 +366,8 @@ def decisions(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     narrow = table.select("doc_id", "text_key", "n_shingles", "node")
     placed = narrow.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     real = placed.where(F.col("n_shingles") > 0)
-    least = real.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written down, so that the join has an exchange of its own on both sides, which AQE can split.
+    least = staged(real.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     alone = placed.where(F.col("n_shingles") == 0).withColumn("component_id", F.col("doc_id"))
     out = real.join(least, "root").unionByName(alone)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
