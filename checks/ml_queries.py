@@ -178,26 +178,20 @@ def predicted_fares(spark, folder):
 
 
 def volume_forecast(spark, folder):
-    fitted = training.train_volume(
-        view(spark, folder, "junction_counts"), ["ID"], trees=20, depth=8
-    )
+    fitted = training.train_volume(view(spark, folder, "junction_counts"), ["ID"])
     return fitted.predictions.select("ID", "Junction", "Vehicles", "prediction", "predicted_fare")
 
 
 def volume_forecast_quality(spark, folder):
-    return training.train_volume(
-        view(spark, folder, "junction_counts"), ["ID"], trees=20, depth=8
-    ).metrics
+    return training.train_volume(view(spark, folder, "junction_counts"), ["ID"]).metrics
 
 
 def small_volume_quality(spark, folder):
-    return training.train_small_volume(
-        view(spark, folder, "junction_counts"), "ID", trees=20
-    ).metrics
+    return training.train_small_volume(view(spark, folder, "junction_counts"), "ID").metrics
 
 
 def volume_confidence(spark, folder):
-    fitted = training.train_small_volume(view(spark, folder, "junction_counts"), "ID", trees=20)
+    fitted = training.train_small_volume(view(spark, folder, "junction_counts"), "ID")
     rows = features.small_volume_features(view(spark, folder, "junction_counts"))
     return scoring.volume_with_confidence(fitted.model, rows).select(
         "ID", "prediction", "confidence_score"
@@ -234,13 +228,11 @@ def situation_predictions(spark, folder):
 
 
 def small_situation_quality(spark, folder):
-    return training.train_small_situation(_mix(spark, folder), "slot", trees=20).metrics
+    return training.train_small_situation(_mix(spark, folder), "slot").metrics
 
 
 def small_risk_quality(spark, folder):
-    return training.train_small_risk(
-        view(spark, folder, "road_conditions"), "event_id", trees=20
-    ).metrics
+    return training.train_small_risk(view(spark, folder, "road_conditions"), "event_id").metrics
 
 
 def _risk_models(spark, folder):
@@ -284,9 +276,9 @@ def request_comparison(spark, folder):
     return scoring.compare_requests(
         valid,
         "event_id",
-        training.train_small_volume(counts, "ID", trees=10).model,
-        training.train_small_situation(_mix(spark, folder), "slot", trees=10).model,
-        training.train_small_risk(conditions, "event_id", trees=10).model,
+        training.train_small_volume(counts, "ID").model,
+        training.train_small_situation(_mix(spark, folder), "slot").model,
+        training.train_small_risk(conditions, "event_id").model,
     )
 
 
