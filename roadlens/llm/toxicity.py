@@ -8,7 +8,8 @@ expression is told apart by the part of it that one class has seen.
 
 The score compares length-normalised log-likelihoods: per character of the whole text, and of the
 most telling window of ``window`` words. A logistic curve turns the two differences into a
-probability; it is fitted on every second text of the sample, by models of the others.
+probability; it is fitted on every second text of the sample, by models of
+the others, so it speaks of classes of equal size where the sample holds as many of both.
 
 Defined results: a null or empty text, or one without words, has no differences (both 0) and gets
 the curve's value there. Without labelled rows of both classes every score is 0. Rows with a null
@@ -49,8 +50,8 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list[tuple[int, str]], dict[int, int]]:
-    """(label, text) of the training rows with the smallest id hashes, and all rows by label."""
+def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> list[tuple[int, str]]:
+    """(label, text) of the training rows with the smallest id hashes of each class."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -69,7 +70,7 @@ def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list
         # A bounded top-k: never more than rows_per_class rows of bounded length reach the driver.
         first = rows.where(F.col("toxic") == label).orderBy("place", "tie")
         got += [(label, r["text"]) for r in first.limit(settings.rows_per_class).collect()]
-    return got, counts
+    return got
 
 
 def words_of(text: str | None) -> list[str]:
@@ -77,12 +78,10 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Model:
-    """Log-likelihood ratio of words, toxic over ordinary."""
+    """Counts of both classes, and the back-off they share."""
 
     def __init__(self, tables: tuple[dict, dict], shared: dict, settings: Settings):
         self.tables, self.shared, self.settings = tables, shared, settings
-        self.known: dict[str, float] = {}
-        self.steps: dict[str, float] = {}
         self.lower: dict[str, float] = {}
 
     @classmethod
@@ -128,16 +127,37 @@ class Model:
         ordinary, toxic = (self._mixed(t, history, char, lower) for t in self.tables)
         return math.log(toxic / ordinary)
 
+    def compiled(self) -> Ratios:
+        """All that scoring needs: the back-off cancels out of every step neither class has seen."""
+        seen, rest = {}, {}
+        d = self.settings.discount
+        for history in self.tables[0].keys() | self.tables[1].keys():
+            kept = []
+            for table in self.tables:
+                followers, total = table.get(history, ({}, 0))
+                kept.append(math.log(d * len(followers) / total) if total else 0.0)
+                for char in followers:
+                    seen[history + char] = 0.0
+            rest[history] = kept[1] - kept[0]
+        for gram in seen:
+            seen[gram] = self.step(gram[:-1], gram[-1])
+        return Ratios(seen, rest, self.settings)
+
+
+class Ratios:
+    """Log-likelihood ratios of words, toxic over ordinary."""
+
+    def __init__(self, seen: dict[str, float], rest: dict[str, float], settings: Settings):
+        self.seen, self.rest, self.settings = seen, rest, settings
+        self.known: dict[str, float] = {}
+
     def ratio(self, word: str) -> float:
-        """Log-likelihood of the word, toxic less ordinary; steps once computed are kept."""
-        marked, steps, total = START + word + END, self.steps, 0.0
+        marked, seen, total = START + word + END, self.seen, 0.0
         back = self.settings.order - 1
         for i in range(1, len(marked)):
             gram = marked[max(0, i - back) : i + 1]
-            value = steps.get(gram)
-            if value is None:
-                value = steps[gram] = self.step(gram[:-1], gram[-1])
-            total += value
+            value = seen.get(gram)
+            total += self.rest.get(gram[:-1], 0.0) if value is None else value
         return total
 
     def differences(self, text: str | None) -> tuple[float, float]:
@@ -145,10 +165,8 @@ class Model:
         words = words_of(text)
         if not words:
             return 0.0, 0.0
-        if len(self.known) > 500_000:
+        if len(self.known) > 100_000:
             self.known.clear()
-            self.steps.clear()
-            self.lower.clear()
         known = self.known
         ratios = []
         for word in words:
@@ -187,20 +205,17 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 @dataclass
 class Scorer:
-    model: Model | None
+    model: Ratios | None
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, rows: Sequence[tuple[int, str]], counts: dict[int, int], settings: Settings) -> Scorer:
+    def fit(cls, rows: Sequence[tuple[int, str]], settings: Settings) -> Scorer:
         if len({label for label, _ in rows}) < 2:
             return cls(None, np.zeros(3))
-        half = Model.fit(rows[::2], settings)
+        half = Model.fit(rows[::2], settings).compiled()
         x = np.array([half.differences(text) for _, text in rows[1::2]])
         y = np.array([label for label, _ in rows[1::2]], float)
-        weights = logistic(x, y)
-        if 0 < y.sum() < len(y):  # from the sample's odds to those of all labelled rows
-            weights[2] += math.log(counts[1] / counts[0]) - math.log(y.mean() / (1 - y.mean()))
-        return cls(Model.fit(rows, settings), weights)
+        return cls(Model.fit(rows, settings).compiled(), logistic(x, y))
 
     def score(self, text: str | None) -> float:
         if self.model is None:
@@ -213,7 +228,7 @@ def predict(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """One row per document: doc_id, held_out, score, predicted."""
     spark = docs.sparkSession
     # Bounded by the sample: at most 2 * rows_per_class texts of at most `longest` characters.
-    scorer = spark.sparkContext.broadcast(Scorer.fit(*sample(docs, labels, settings), settings))
+    scorer = spark.sparkContext.broadcast(Scorer.fit(sample(docs, labels, settings), settings))
     narrow = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     id_type = narrow.schema["doc_id"].dataType.simpleString()
 
@@ -233,7 +248,7 @@ def predict(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
 def clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     spark = docs.sparkSession
-    scorer = spark.sparkContext.broadcast(Scorer.fit(*sample(docs, labels, settings), settings))
+    scorer = spark.sparkContext.broadcast(Scorer.fit(sample(docs, labels, settings), settings))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

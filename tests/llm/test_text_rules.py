@@ -80,6 +80,16 @@ def test_kneser_ney_is_a_distribution():
             assert sum(of[c] for c in seen) + (65_536 - len(seen)) * of["?"] == pytest.approx(1)
 
 
+def test_compiled_ratios_equal_the_models():
+    rows = [(0, "abab ab ba abc"), (1, "abba bab aab cab"), (0, "bbb")]
+    settings = toxicity.Settings(order=4)
+    model = toxicity.Model.fit(rows, settings)
+    compiled = model.compiled()
+    for word in ("ab", "abab", "zab", "cabz", "aabb", "b", "zz"):
+        steps = toxicity._steps(word, 4)
+        assert compiled.ratio(word) == pytest.approx(sum(model.step(h, c) for h, c in steps))
+
+
 def test_toxicity_finds_planted_words(spark, documents, labels):
     docs = documents.select("doc_id", "text").join(labels, "doc_id", "left")
     planted = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
