@@ -8,7 +8,7 @@ from checks.sensor_queries import rounded
 from checks.summary_queries import _mix, risk_with
 from checks.views import view, with_views
 from roadlens.functions import rules, scalars
-from roadlens.ml import features, scoring, training
+from roadlens.ml import features, models, scoring, training
 from roadlens.operators import evaluation, junctions, requests, vehicles
 from roadlens.operators.lineage import staged
 
@@ -198,6 +198,16 @@ def volume_confidence(spark, folder):
     )
 
 
+def small_volume_cells(spark, folder):
+    """Without bootstrap every tree ends in the mean of its (hour, junction), and no tree differs."""
+    rows = staged(features.small_volume_features(view(spark, folder, "junction_counts")))
+    train, _ = features.random_split(rows, "ID")
+    model = models.small_volume_forest(trees=3, bootstrap=False).fit(train)
+    known = train.select("hour", "junction").distinct()
+    scored = scoring.volume_with_confidence(model, rows.join(known, ["hour", "junction"]))
+    return scored.select("ID", F.round("prediction", 8).alias("prediction"), "confidence_score")
+
+
 def _prepared(spark, folder):
     return vehicles.prepare(_mix(spark, folder))
 
@@ -310,6 +320,7 @@ QUERIES = {
         volume_forecast_quality,
         small_volume_quality,
         volume_confidence,
+        small_volume_cells,
         situation_comparison,
         situation_importances,
         situation_predictions,
@@ -416,6 +427,11 @@ FROM demand GROUP BY 1""",
     "random_split_rows": with_views("junction_counts") + f"""
 SELECT ID, CASE WHEN {_HASH.format("ID")} / 4503599627370496.0::DOUBLE < 0.8
   THEN 'train' ELSE 'test' END AS part FROM junction_counts""",
+    "small_volume_cells": with_views("junction_counts") + f"""
+SELECT ID, round(prediction, 8) AS prediction, 1.0::DOUBLE AS confidence_score
+FROM (SELECT *, hour(DateTime) AS h FROM junction_counts)
+JOIN (SELECT hour(DateTime) AS h, Junction, avg(Vehicles) AS prediction FROM junction_counts
+  WHERE {_HASH.format("ID")} / 4503599627370496.0::DOUBLE < 0.8 GROUP BY 1, 2) USING (h, Junction)""",
     "stratified_split_rows": _risk_sql(hashed=f"""
 SELECT event_id, risk_level, {_HASH.format("event_id")} AS h FROM features""") + """
 SELECT event_id, risk_level, CASE WHEN h <= cut THEN 'train' ELSE 'test' END AS part

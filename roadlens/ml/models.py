@@ -81,11 +81,13 @@ def volume_forecaster(trees: int = 150, depth: int = 12) -> Pipeline:
     return Pipeline(stages=[*_encoded(["Junction"], False), _assembled(inputs), forest])
 
 
-def small_volume_forest(trees: int = 150, depth: int = DEEP) -> Pipeline:
+def small_volume_forest(trees: int = 150, depth: int = DEEP, bootstrap: bool = True) -> Pipeline:
     """Volume from hour and junction alone."""
     forest = RandomForestRegressor(
-        labelCol="Vehicles", numTrees=trees, maxDepth=depth, **_FOREST
+        labelCol="Vehicles", numTrees=trees, maxDepth=depth, bootstrap=bootstrap, **_FOREST
     )
+    if not bootstrap:
+        forest.setFeatureSubsetStrategy("all")
     return Pipeline(stages=[_assembled(features.SMALL_VOLUME_INPUTS), forest])
 
 
