@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.llm.toxicity import held_out
+from roadlens.operators.lineage import staged
 
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
@@ -51,7 +52,9 @@ def sample(docs: DataFrame, lang: Column, settings: Settings) -> dict[str, str]:
     )
     rows = rows.where(F.col("lang").isNotNull() & F.col("n").between(1, settings.longest))
     # About twice the wanted rows by a line through the hashes, then exact ranks among those.
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of"))
+    # One row per language, written down: its size is known when the join is planned, so rows are
+    # not dealt by language before they are filtered.
+    counts = staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of")))
     share = F.least(F.lit(1.0), F.lit(2.0 * settings.rows) / F.col("of"))
     below = F.pmod("place", F.lit(1 << 40)) < share * F.lit(float(1 << 40))
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
