@@ -1,25 +1,42 @@
 """Exact quantiles of whole tables or classes, selected by counting.
 
 The quantile of a share is the smallest value with at least that share of the rows at or below it. Each
-round counts the rows of the interval that holds the wanted rank in equal bins, and goes on inside the
-one bin that holds it, until that bin has a single value. Every round is one grouped count, combined
-before its shuffle; no row is sorted or collected, and the table read is narrow. Nulls and NaN are
-passed over; infinite values count as the largest finite ones.
+round counts the rows of the interval that holds the wanted rank in equal bins and goes on inside the
+one bin that holds it, until that bin has a single value or few rows, which are then ranked. Every round
+is one grouped count, combined before its shuffle; the driver holds the bins of each quantile only, so
+``by`` is meant for classes. Nulls and NaN are passed over; infinite values count as the largest finite
+ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlens.operators.lineage import staging
 
 BINS = 1_024
+FEW = 4_096  # rows of an interval that are ranked as they are
 _MOST = 1.7976931348623157e308
 
 
+@dataclass
+class _Wanted:
+    """One quantile: its group, column and share, and the interval that holds it."""
+
+    group: tuple
+    column: int
+    share: int
+    low: float
+    high: float
+    rank: int  # from 1, among the rows of the interval
+    rows: int
+
+
 def _finite(name: str) -> Column:
     value = F.col(name).cast("double")
     return F.when(value.isNotNull() & ~F.isnan(value), F.greatest(F.least(value, F.lit(_MOST)), F.lit(-_MOST)))
@@ -29,64 +46,77 @@ def quantiles(
     df: DataFrame, columns: Sequence[str], shares: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """One row (per group) with an array of quantiles for every column; null without a value."""
+    spark = df.sparkSession
     groups = [f"g{i}" for i in range(len(by))]
     values = [f"v{i}" for i in range(len(columns))]
-    with staging(df.sparkSession) as stage:
+    kinds = [df.select(name).schema[0].dataType for name in by]
+    with staging(spark) as stage:
         table = stage(
             df.select(
                 *[F.col(name).alias(g) for name, g in zip(by, groups)],
                 *[_finite(name).alias(v) for name, v in zip(columns, values)],
             )
         )
+        figures = [f(v) for v in values for f in (F.count, F.min, F.max)]
+        known = (table.groupBy(*groups).agg(*figures) if by else table.agg(*figures)).collect()
+        wanted = []
+        for row in known:
+            group, rest = tuple(row[: len(by)]), row[len(by) :]
+            for c in range(len(columns)):
+                n, low, high = rest[3 * c : 3 * c + 3]
+                for s, share in enumerate(shares):
+                    if n:
+                        rank = max(1, -int(-round(share * n, 9) // 1))
+                        wanted.append(_Wanted(group, c, s, low, high, rank, n))
         cells = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(v).alias("v")) for i, v in enumerate(values)]))
         long = table.select(*groups, cells.alias("cell")).select(*groups, "cell.c", "cell.v")
-        long = long.where(F.col("v").isNotNull())
-        known = long.groupBy(*groups, "c").agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        each = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.lit(float(x)).alias("share")) for i, x in enumerate(shares)]))
-        # Rank of the quantile among the rows of its interval, from 1.
-        rank = F.greatest(F.lit(1), F.ceil(F.round(F.col("each.share") * F.col("n"), 9)))
-        state = known.withColumn("each", each).select(*groups, "c", "each.s", "low", "high", rank.alias("rank"))
-        state = stage(state)
-        while not state.where(F.col("low") < F.col("high")).isEmpty():
-            state = stage(_narrowed(long, state, groups))
-        wide = [
-            F.array(*[F.max(F.when((F.col("c") == i) & (F.col("s") == j), F.col("low"))) for j in range(len(shares))])
-            for i in range(len(columns))
-        ]
-        # A group may have no value at all; it still gets its row.
-        every = table.select(*groups).distinct() if by else table.sparkSession.range(1).select()
-        if by:
-            found = state.select(*[F.col(g).alias(f"_{g}") for g in groups], "c", "s", "low")
-            same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
-            result = every.join(found, same, "left").groupBy(*groups).agg(*[w.alias(c) for w, c in zip(wide, columns)])
-        else:
-            result = state.agg(*[w.alias(c) for w, c in zip(wide, columns)])
-        named = result.withColumnsRenamed(dict(zip(groups, by)))
-        return named.sparkSession.createDataFrame(named.collect(), named.schema)
-
-
-def _narrowed(long: DataFrame, state: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """The bin of each open interval that holds its rank."""
-    # One row per group, column and share.
-    targets = state.withColumnsRenamed({g: f"_{g}" for g in groups} | {"c": "_c"})
-    inside = (F.col("c") == F.col("_c")) & F.col("v").between(F.col("low"), F.col("high"))
+        while open_ := [w for w in wanted if w.low < w.high and w.rows > FEW]:
+            _narrow(open_, _inside(long, open_, groups, kinds))
+        if few := [w for w in wanted if w.low < w.high]:
+            ranked = F.sort_array(F.collect_list("v"))[F.first("rank") - 1]
+            for row in _inside(long, few, groups, kinds).groupBy("t").agg(ranked.alias("v")).collect():
+                few[row["t"]].low = row["v"]
+    found = {(w.group, w.column, w.share): w.low for w in wanted}
+    rows = []
+    for row in known:
+        group = tuple(row[: len(by)])
+        rows.append((*group, *[[found.get((group, c, s)) for s in range(len(shares))] for c in range(len(columns))]))
+    fields = [T.StructField(name, kind) for name, kind in zip(by, kinds)]
+    fields += [T.StructField(name, T.ArrayType(T.DoubleType())) for name in columns]
+    return spark.createDataFrame(rows, T.StructType(fields))
+
+
+def _inside(long: DataFrame, wanted: Sequence[_Wanted], groups: Sequence[str], kinds: Sequence) -> DataFrame:
+    """Rows of each wanted quantile's interval, with its number, interval and rank."""
+    fields = [T.StructField(f"_{g}", kind) for g, kind in zip(groups, kinds)]
+    fields += [T.StructField(n, k) for n, k in (("t", T.IntegerType()), ("_c", T.IntegerType()), ("low", T.DoubleType()), ("high", T.DoubleType()), ("rank", T.LongType()))]
+    rows = [(*w.group, t, w.column, w.low, w.high, w.rank) for t, w in enumerate(wanted)]
+    # As many rows as there are quantiles to find.
+    targets = F.broadcast(long.sparkSession.createDataFrame(rows, T.StructType(fields)))
+    same = (F.col("c") == F.col("_c")) & F.col("v").between(F.col("low"), F.col("high"))
     for g in groups:
-        inside &= F.col(g).eqNullSafe(F.col(f"_{g}"))
+        same &= F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return long.join(targets, same).select("t", "v", "low", "high", "rank")
+
+
+def _narrow(wanted: Sequence[_Wanted], rows: DataFrame) -> None:
+    """Move each quantile into the bin that holds its rank."""
     # Halves, so that the width of an interval is finite.
     width = F.col("high") / 2 - F.col("low") / 2
-    place = F.floor(F.try_divide(F.col("v") / 2 - F.col("low") / 2, width) * BINS)
-    bin_ = F.least(F.lit(BINS - 1), F.coalesce(place, F.lit(0)))
-    keys = [*groups, "c", "s"]
-    bins = long.join(targets, inside).withColumn("bin", bin_).groupBy(*keys, "bin").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
-        F.first("rank").alias("rank"),
+    place = F.coalesce(F.floor(F.try_divide(F.col("v") / 2 - F.col("low") / 2, width) * BINS), F.lit(0))
+    bins = rows.groupBy("t", F.least(F.lit(BINS - 1), place).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("least"), F.max("v").alias("most")
     )
-    line = Window.partitionBy(*keys).orderBy("bin")  # at most BINS rows
-    before = F.coalesce(F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bins = bins.withColumn("before", before)
-    holds = (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n"))
-    return bins.where(holds).select(*keys, "low", "high", (F.col("rank") - F.col("before")).alias("rank"))
+    done = set()
+    for row in sorted(bins.collect(), key=lambda r: (r["t"], r["bin"])):
+        quantile = wanted[row["t"]]
+        if row["t"] in done:
+            continue
+        if quantile.rank > row["n"]:
+            quantile.rank -= row["n"]
+            continue
+        # An interval too narrow to be divided is ranked as it is.
+        stuck = (quantile.low, quantile.high) == (row["least"], row["most"])
+        quantile.low, quantile.high = row["least"], row["most"]
+        quantile.rows = 0 if stuck else row["n"]
+        done.add(row["t"])
