@@ -34,7 +34,8 @@ _MARK &= ~_LETTER
 # The word pattern: white space is dropped, letters are lower-cased first.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-_SLOTS = 1 << 22
+_SLOTS = 1 << 20  # twice the pieces a worker remembers
+_AT_ONCE = 4_096  # new pieces given to the library together
 
 
 def _kind(settings: dict) -> str:
@@ -159,13 +160,22 @@ class Encoder:
             where = np.flatnonzero(entries < 0)[where]
             raw = data.tobytes()
             pieces = [raw[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-            done = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            self._add(new, [e.ids for e in done])
+            ids = []
+            for at in range(0, len(pieces), _AT_ONCE):
+                part = pieces[at : at + _AT_ONCE]
+                ids += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            if len(new) > _SLOTS // 2:  # more than is remembered: only this block gets so many
+                return self._once(new, ids, hashes, starts, offsets)
+            self._add(new, ids)
             entries = self._find(hashes)
-        counts = self.count[entries]
-        before = np.concatenate(([0], np.cumsum(counts)))
-        ids = self.pool[np.arange(before[-1]) + np.repeat(self.first[entries] - before[:-1], counts)]
-        return ids, before[np.searchsorted(starts, offsets)]
+        return _gathered(self.pool, self.first[entries], self.count[entries], starts, offsets)
+
+    def _once(self, new: np.ndarray, ids: list, hashes: np.ndarray, starts: np.ndarray, offsets: np.ndarray):
+        """The same for a block with too many new pieces; nothing was known when it was encoded."""
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        pool = np.fromiter((i for piece in ids for i in piece), np.uint32, int(counts.sum()))
+        place = np.searchsorted(new, hashes)
+        return _gathered(pool, (np.cumsum(counts) - counts)[place], counts[place], starts, offsets)
 
     def id_bytes(self) -> np.ndarray | None:
         """Bytes of text behind each id; None if ids do not stand for runs of bytes."""
@@ -178,6 +188,14 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}  # of this worker process
 
 
+def _gathered(
+    pool: np.ndarray, first: np.ndarray, counts: np.ndarray, starts: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    before = np.concatenate(([0], np.cumsum(counts)))
+    ids = pool[np.arange(before[-1]) + np.repeat(first - before[:-1], counts)]
+    return ids, before[np.searchsorted(starts, offsets)]
+
+
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)

@@ -217,6 +217,12 @@ class Scorer:
         y = np.array([label for label, _ in rows[1::2]], float)
         return cls(Model.fit(rows, settings).compiled(), logistic(x, y))
 
+    def forget(self) -> None:
+        """Give up the words met so far; workers go on to other stages."""
+        if self.model is not None:
+            self.model.known.clear()
+        pa.default_memory_pool().release_unused()
+
     def score(self, text: str | None) -> float:
         if self.model is None:
             return 0.0
@@ -256,5 +262,6 @@ def clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         for batch in batches:
             stay = [model.score(text.as_py()) < settings.threshold for text in batch.column(at)]
             yield batch.filter(pa.array(stay, pa.bool_()))
+        model.forget()
 
     return docs.mapInArrow(run, docs.schema)
