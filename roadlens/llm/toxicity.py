@@ -8,8 +8,8 @@ expression is told apart by the part of it that one class has seen.
 
 The score compares length-normalised log-likelihoods: per character of the whole text, and of the
 most telling window of ``window`` words. A logistic curve turns the two differences into a
-probability; it is fitted on every second text of the sample, by models of
-the others, so it speaks of classes of equal size where the sample holds as many of both.
+probability; it is fitted on every second text of the sample, by models of the others, and then moved
+from the sample's odds to those of all labelled rows, so a score means the same at every size.
 
 Defined results: a null or empty text, or one without words, has no differences (both 0) and gets
 the curve's value there. Without labelled rows of both classes every score is 0. Rows with a null
@@ -50,8 +50,8 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> list[tuple[int, str]]:
-    """(label, text) of the training rows with the smallest id hashes of each class."""
+def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[list[tuple[int, str]], dict[int, int]]:
+    """(label, text) of the training rows with the smallest id hashes of each class, and all rows by label."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -70,7 +70,7 @@ def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> list[tuple
         # A bounded top-k: never more than rows_per_class rows of bounded length reach the driver.
         first = rows.where(F.col("toxic") == label).orderBy("place", "tie")
         got += [(label, r["text"]) for r in first.limit(settings.rows_per_class).collect()]
-    return got
+    return got, counts
 
 
 def words_of(text: str | None) -> list[str]:
@@ -209,13 +209,16 @@ class Scorer:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, rows: Sequence[tuple[int, str]], settings: Settings) -> Scorer:
+    def fit(cls, rows: Sequence[tuple[int, str]], counts: dict[int, int], settings: Settings) -> Scorer:
         if len({label for label, _ in rows}) < 2:
             return cls(None, np.zeros(3))
         half = Model.fit(rows[::2], settings).compiled()
         x = np.array([half.differences(text) for _, text in rows[1::2]])
         y = np.array([label for label, _ in rows[1::2]], float)
-        return cls(Model.fit(rows, settings).compiled(), logistic(x, y))
+        weights = logistic(x, y)
+        if 0 < y.sum() < len(y):  # from the sample's odds to those of all labelled rows
+            weights[2] += math.log(counts[1] / counts[0]) - math.log(y.mean() / (1 - y.mean()))
+        return cls(Model.fit(rows, settings).compiled(), weights)
 
     def forget(self) -> None:
         """Give up the words met so far; workers go on to other stages."""
@@ -234,7 +237,7 @@ def predict(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """One row per document: doc_id, held_out, score, predicted."""
     spark = docs.sparkSession
     # Bounded by the sample: at most 2 * rows_per_class texts of at most `longest` characters.
-    scorer = spark.sparkContext.broadcast(Scorer.fit(sample(docs, labels, settings), settings))
+    scorer = spark.sparkContext.broadcast(Scorer.fit(*sample(docs, labels, settings), settings))
     narrow = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     id_type = narrow.schema["doc_id"].dataType.simpleString()
 
@@ -254,7 +257,7 @@ def predict(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
 def clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     spark = docs.sparkSession
-    scorer = spark.sparkContext.broadcast(Scorer.fit(sample(docs, labels, settings), settings))
+    scorer = spark.sparkContext.broadcast(Scorer.fit(*sample(docs, labels, settings), settings))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

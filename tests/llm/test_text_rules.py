@@ -101,6 +101,25 @@ def test_toxicity_finds_planted_words(spark, documents, labels):
     assert all(r.predicted == int(r.score >= 0.3) for r in rows)
 
 
+def test_toxicity_does_not_depend_on_the_size_of_the_sample(spark):
+    def probed(toxic, ordinary):
+        """Six of ten toxic texts and three of ten others hold the one telling word."""
+        rows = []
+        for label, n, share in ((1, toxic, 6), (0, ordinary, 3)):
+            for i in range(n):
+                rows.append((len(rows), f"plain text {'blurgh' if i % 10 < share else 'of words'} here", label))
+        docs = spark.createDataFrame([*rows, (-1, "plain text blurgh here", None)], "doc_id long, text string, toxic int")
+        found = toxicity.predict(docs, docs.select("doc_id", "toxic")).where("doc_id = -1").collect()
+        return found[0].score, found[0].predicted
+
+    few, many, more_ordinary = probed(120, 960), probed(1200, 9600), probed(120, 9600)
+    # One in nine rows is toxic, so one in five with that word: whatever the sample holds of each class.
+    assert few[0] == pytest.approx(0.2, abs=0.06)
+    assert many[0] == pytest.approx(few[0], abs=0.06)
+    assert few[1] == many[1] == more_ordinary[1] == 0
+    assert more_ordinary[0] < few[0] / 4  # ten times the ordinary rows, about a tenth of the odds
+
+
 def test_toxicity_edges(spark):
     docs = edge_docs(spark)
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (7, None), (8, 0)], "doc_id long, toxic int")
