@@ -352,8 +352,8 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame,
     for best_only in (True, False):
         new = _across(members, roots, sigs, settings, best_only).join(tried, ["a", "b"], "left_anti")
         new = staged(new)
-        if new.isEmpty():
-            break
+        if new.isEmpty():  # the best pairs may all be tried ones; others of their components are not
+            continue
         links = staged(links.unionByName(verified(new, sets, settings)))
         tried = tried.unionByName(new)
         roots = components(links)

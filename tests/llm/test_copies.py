@@ -93,6 +93,31 @@ def test_near_matches_brute_force(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def family_of_three():
+    """A leader, a copy linked to it, and a text that is near enough to the copy only, by one shingle.
+
+    By its signature the text is nearer to the leader, and every bucket it shares with the copy holds that.
+    """
+    base = [f"w{i}" for i in np.random.default_rng(125).permutation(10_000)[:300]]
+    copy = ["first", *base[1:-2], "other", base[-1]]
+    text = [base[0], *copy[1:]]
+    for at in range(20, 260, 30):
+        text[at] = f"x{at}"
+    return [(i, " ".join(words)) for i, words in enumerate((base, copy, text))]
+
+
+def test_near_links_beside_a_refused_best_pair(spark):
+    rows = family_of_three()
+    sets = neardup.shingle_sets(pa.array([text for _, text in rows]), 4)
+    signatures = np.stack([neardup.Hasher(512).signature(s) for s in sets]).astype(np.uint8)
+    equal = (signatures[:2] == signatures[2]).sum(axis=1)
+    assert equal[0] > equal[1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.decisions(docs).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_near(rows)
+    assert {r.component_id for r in got} == {0}
+
+
 def test_near_edges(spark):
     docs = edge_docs(spark)
     stay = neardup.survivors(docs)
