@@ -59,7 +59,7 @@ def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
     starts, ends, bounds = words(data, offsets)
     hashes = hash_runs(LOWER[data], starts, ends)
     folded = hashes.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, len(hashes))):  # a block may hold fewer words than a shingle
         folded[: len(hashes) - j] = mixed(folded[: len(hashes) - j] * _GOLD ^ hashes[j:])
     sets = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):

@@ -118,6 +118,19 @@ def test_near_links_beside_a_refused_best_pair(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_near_short_text_alone_in_its_block(spark):
+    for k in (4, 5):
+        for n in range(k + 1):
+            (alone,) = neardup.shingle_sets(pa.array(["one two three four five"[: [0, 3, 7, 13, 18, 23][n]]]), k)
+            beside = neardup.shingle_sets(pa.array(["one two three four five"[: [0, 3, 7, 13, 18, 23][n]], "x " * 9]), k)
+            assert len(alone) == (n > 0) and (alone == beside[0]).all()
+    rows = [(1, "two words"), (2, "word" * 300_000 + " end"), (3, "Two  words")]
+    for parts in (rows[:1], rows):
+        docs = spark.createDataFrame(parts, "doc_id long, text string").coalesce(1)
+        got = neardup.decisions(docs).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_near(parts)
+
+
 def test_near_edges(spark):
     docs = edge_docs(spark)
     stay = neardup.survivors(docs)
