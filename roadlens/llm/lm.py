@@ -39,7 +39,8 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 END = np.uint64(0x5EED)  # the hash of the end token
 WORDS, PAIRS, TOTALS, TEXTS = 1, 2, 3, 4  # kinds of rows
 _ROWS = "block string, kind int, bucket int, keys binary, counts binary"
-_ZERO = 255  # the quantised value of an estimate of zero
+_ZERO = 1_023  # the quantised value of an estimate of zero
+_EQUAL = 512  # and of one equal to the uniform estimate
 
 
 @dataclass(frozen=True)
@@ -257,11 +258,11 @@ class Estimates:
         """Logarithm over the uniform estimate in fixed steps; _ZERO for zero."""
         with np.errstate(divide="ignore"):
             step = np.rint(np.log2(estimate / self.uniform) * self.settings.steps_per_octave)
-        # From 1/8 of the uniform estimate up, in eighths of octaves, up to 2 ** 28 times it.
-        return np.where(estimate > 0, np.clip(step + 24, 0, _ZERO - 1), _ZERO).astype(np.int64)
+        # In eighths of octaves from 2 ** -64 to 2 ** 63 times the uniform estimate, so none is clipped.
+        return np.where(estimate > 0, np.clip(step + _EQUAL, 0, _ZERO - 1), _ZERO).astype(np.int64)
 
     def value(self, step: np.ndarray) -> np.ndarray:
-        return np.where(step == _ZERO, 0.0, self.uniform * 2.0 ** ((step - 24) / self.settings.steps_per_octave))
+        return np.where(step == _ZERO, 0.0, self.uniform * 2.0 ** ((step - _EQUAL) / self.settings.steps_per_octave))
 
 
 def _shift(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -284,17 +285,17 @@ def learned_weights(table: DataFrame, estimates: Estimates, settings: Settings)
                     continue
                 word, pair = expand(row["word_less"], np.int64), expand(row["pair_less"], np.int64)
                 bucket, two, one = estimates.of(_shift(word, sizes), pair, word)
-                code = (bucket << 16) | (estimates.steps(two) << 8) | estimates.steps(one)
+                code = (bucket << 20) | (estimates.steps(two) << 10) | estimates.steps(one)
                 codes, n = np.unique(code, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], ["code", "n"])
 
-    # At most context_buckets * 2 ** 16 cells, whatever the size of the corpus.
+    # At most context_buckets * 2 ** 20 cells; estimates of n tokens lie within 8 * log2(n) steps each, so far fewer.
     cells = table.select("ids", "sizes", "word_less", "pair_less").mapInArrow(run, "code bigint, n bigint")
     rows = cells.groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     code, n = rows["code"].to_numpy(np.int64), rows["n"].to_numpy(float)
-    bucket = code >> 16
+    bucket = code >> 20
     parts = np.stack(
-        [estimates.value((code >> 8) & 255), estimates.value(code & 255), np.full(len(code), estimates.uniform)]
+        [estimates.value((code >> 10) & 1_023), estimates.value(code & 1_023), np.full(len(code), estimates.uniform)]
     )
     weights = np.tile([[0.4], [0.4], [0.2]], settings.context_buckets)
     weights[:, 0] = [0.0, 0.5, 0.5]

@@ -139,6 +139,14 @@ def test_lm_weights_raise_the_deleted_likelihood(spark, documents):
         assert likelihood > np.log(parts @ best).mean() - 0.01
 
 
+def test_lm_estimates_far_under_the_uniform_one_are_kept():
+    for tokens, distinct in ((10**9, 10**5), (10**12, 10**8), (100, 90)):
+        estimates = lm.Estimates(tokens, distinct, lm.Settings())
+        exact = np.array([1, 2, 50, tokens]) / tokens
+        assert estimates.value(estimates.steps(exact)) == pytest.approx(exact, rel=0.05)
+    assert estimates.value(estimates.steps(np.zeros(1))) == [0]
+
+
 def test_lm_edges(spark):
     docs = edge_docs(spark)
     rows = lm.score(docs).collect()
