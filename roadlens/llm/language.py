@@ -2,7 +2,7 @@
 
 A bounded sample of labelled text per language becomes a suffix automaton. A text is parsed
 against each: a phrase is the longest match of what is left with any place of the sample, and the
-next phrase starts behind it. Each phrase costs about log2 of the sample's length, so the cost per
+next phrase starts behind it. Every letter of a sample is told apart. Each phrase costs about log2 of the sample's length, so the cost per
 character is the cross-parsing entropy; the language that needs the fewest normalised phrases wins.
 Texts are parsed in segments of ``segment`` characters, all of them, side by side; whatever is
 not a letter counts as the same blank.
@@ -16,7 +16,7 @@ with a null doc_id, lang or text teach nothing. Repeated rows are labelled row b
 from __future__ import annotations
 
 import re
-from collections import Counter
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -39,6 +39,7 @@ class Settings:
     rows: int = 400
     longest: int = 20_000
     chars: int = 120_000
+    # Letters of a language with a column in its table, and a blank; rarer ones have sorted edges.
     letters: int = 62
     segment: int = 256
     sharpness: float = 6.0
@@ -73,8 +74,8 @@ def sample(docs: DataFrame, lang: Column, settings: Settings) -> dict[str, str]:
     return found
 
 
-def automaton(codes: Sequence[int], letters: int) -> np.ndarray:
-    """Transitions of the suffix automaton, one row per state; -1 where there is none."""
+def transitions(codes: Sequence[int]) -> list[dict[int, int]]:
+    """Next states of every state of the suffix automaton, by code."""
     link, length, moves = [-1], [0], [{}]
     last = 0
     for code in codes:
@@ -100,61 +101,103 @@ def automaton(codes: Sequence[int], letters: int) -> np.ndarray:
                     at = link[at]
                 link[to] = link[new] = twin
         last = new
+    return moves
+
+
+def automaton(codes: Sequence[int], letters: int) -> np.ndarray:
+    """Transitions of the suffix automaton, one row per state; -1 where there is none."""
+    return _table(transitions(codes), letters)
+
+
+def _table(moves: list[dict[int, int]], letters: int) -> np.ndarray:
+    """One row per state, with the codes below ``letters``."""
     table = np.full((len(moves), letters), -1, np.int32)
     for state, row in enumerate(moves):
         for code, to in row.items():
-            table[state, code] = to
+            if code < letters:
+                table[state, code] = to
     return table
 
 
+class Automaton:
+    """Steps of one language. A move holds the next state (as a row offset) times four, plus the
+    phrases that end with it. The commonest letters of the sample have a column in a table, all
+    others of it an edge among sorted ones; letters that the sample lacks share one column."""
+
+    def __init__(self, codes: np.ndarray, blank: int, pad: int, columns: int):
+        counts = np.bincount(codes, minlength=pad + 1)
+        own = np.flatnonzero(counts[:blank])
+        own = own[np.argsort(-counts[own], kind="stable")]
+        common, rare = own[:columns], own[columns:]
+        self.width = width = len(common) + 3  # a blank, a letter without a column, and padding
+        self.column = np.full(pad + 1, len(common) + 1, np.int32)
+        self.column[common] = np.arange(len(common))
+        self.column[blank], self.column[pad] = len(common), len(common) + 2
+        self.rare = np.full(pad + 1, -1, np.int32)
+        self.rare[rare] = np.arange(len(rare))
+        self.n_rare = len(rare)
+        rows = transitions(np.where(self.rare >= 0, self.rare + width, self.column)[codes].tolist())
+        table = _table(rows, width)
+        start = np.broadcast_to(table[0], table.shape)
+        # No move: the phrase ends, and the next begins with this letter if it is known.
+        fallen = np.where(start >= 0, start * width * 4 + 1, 2)
+        fallen[0] = np.where(table[0] >= 0, 0, 1)
+        moves = np.where(table >= 0, table * width * 4, fallen)
+        moves[:, len(common) + 2] = np.arange(len(table)) * width * 4  # stays where it is
+        self.moves = moves.astype(np.int32).ravel()
+        edges = [(s * len(rare) + c - width, to) for s, row in enumerate(rows) for c, to in row.items() if c >= width]
+        edges = np.array(sorted(edges), np.int64).reshape(-1, 2)
+        self.edges, self.targets = edges[:, 0].copy(), (edges[:, 1] * width * 4).astype(np.int32)
+
+    def rare_steps(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """Moves by letters without a column. The first edges are those of the start, one per letter."""
+        wanted = (state // self.width).astype(np.int64) * self.n_rare + letter
+        place = np.minimum(np.searchsorted(self.edges, wanted), len(self.edges) - 1)
+        return np.where(self.edges[place] == wanted, self.targets[place], self.targets[letter] + 1)
+
+    def phrases(self, segments: np.ndarray) -> np.ndarray:
+        """Phrases of each column of codes."""
+        state = np.zeros(segments.shape[1], np.int32)
+        ended = np.ones(segments.shape[1], np.int32)  # the phrase open at the end
+        for codes in segments:
+            step = self.moves[state + self.column[codes]]
+            if self.n_rare:
+                letter = self.rare[codes]
+                at = np.flatnonzero(letter >= 0)
+                if len(at):
+                    step[at] = self.rare_steps(state[at], letter[at])
+            ended += step & 3
+            state = step >> 2
+        return ended - (state == 0)  # no phrase is open behind an unknown letter
+
+
 class Parser:
-    """Phrases of many segments at once. A move holds the next state (as a row offset) times
-    four, plus the phrases that end with it."""
+    """Phrases of many segments at once, in every language."""
 
     def __init__(self, texts: dict[str, str], settings: Settings):
         self.settings = settings
         self.langs = sorted(texts)
-        common = Counter()
-        for text in texts.values():
-            common.update(c for c in text if c.isalpha() and ord(c) < 65_536)
-        known = sorted(sorted(common), key=lambda c: -common[c])[: settings.letters - 1]
-        self.width = settings.letters + 2  # the known letters, a blank, any other, and padding
-        blank, other, pad = settings.letters - 1, settings.letters, settings.letters + 1
-        self.codes = np.full(65_537, other, np.uint8)
-        for point in range(65_536):
-            if not chr(point).isalpha():
-                self.codes[point] = blank
-        for code, letter in enumerate(known):
-            self.codes[ord(letter)] = code
-        self.pad = pad
-        self.moves, self.bits = [], []
+        known = sorted({c for text in texts.values() for c in text if c.isalpha()})
+        blank, other, self.pad = len(known), len(known) + 1, len(known) + 2
+        points = range(sys.maxunicode + 1)
+        letter = np.fromiter(map(str.isalpha, map(chr, points)), bool, len(points))
+        self.codes = np.where(letter, other, blank).astype(np.int32)
+        self.codes[[ord(c) for c in known]] = np.arange(len(known))
+        self.automata, self.bits = [], []
         for lang in self.langs:
             codes = self._encode(texts[lang])
-            table = automaton(codes.tolist(), self.width)
-            start = np.broadcast_to(table[0], table.shape)
-            # No move: the phrase ends, and the next begins with this letter if it is known.
-            fallen = np.where(start >= 0, start * self.width * 4 + 1, 2)
-            fallen[0] = np.where(table[0] >= 0, 0, 1)
-            moves = np.where(table >= 0, table * self.width * 4, fallen)
-            moves[:, pad] = np.arange(len(table)) * self.width * 4  # stays where it is
-            self.moves.append(moves.astype(np.int32).ravel())
+            self.automata.append(Automaton(codes, blank, self.pad, settings.letters - 1))
             self.bits.append(np.log2(len(codes) + 2))
 
     def _encode(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return self.codes[np.minimum(points, 65_536)]
+        return self.codes[points]
 
     def phrases(self, segments: np.ndarray) -> np.ndarray:
         """Phrases per language of each column of codes."""
         totals = np.empty((len(self.langs), segments.shape[1]), np.int64)
-        for row, moves in zip(totals, self.moves):
-            state = np.zeros(segments.shape[1], np.int32)
-            ended = np.ones(segments.shape[1], np.int32)  # the phrase open at the end
-            for letters in segments:
-                step = moves[state + letters]
-                ended += step & 3
-                state = step >> 2
-            row[:] = ended - (state == 0)  # no phrase is open behind an unknown letter
+        for row, learned in zip(totals, self.automata):
+            row[:] = learned.phrases(segments)
         return totals
 
     def entropies(self, texts: Sequence[str]) -> np.ndarray:
@@ -171,11 +214,11 @@ class Parser:
             codes = self._encode("".join(pieces))
             n = np.array([len(p) for p in pieces])
             parts = -(-n // size)
-            grid = np.full((parts.sum(), size), self.pad, np.uint8)
+            grid = np.full((parts.sum(), size), self.pad, np.int32)
             first = np.concatenate(([0], np.cumsum(parts)[:-1])) * size
             starts = np.concatenate(([0], np.cumsum(n)[:-1]))
             grid.ravel()[np.arange(n.sum()) + np.repeat(first - starts, n)] = codes
-            found = self.phrases(np.ascontiguousarray(grid.T).astype(np.int32))
+            found = self.phrases(np.ascontiguousarray(grid.T))
             np.add.at(totals, np.repeat(np.array(owners), parts), found.T)
 
         for owner, text in enumerate(lower):

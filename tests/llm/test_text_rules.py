@@ -53,6 +53,27 @@ def test_phrases_match_brute_force():
             assert found == pytest.approx(cost * sum(phrases(p, blank) for p in parts) / len(text))
 
 
+def test_all_letters_of_the_samples_are_told_apart():
+    """Two languages of one large script, in other orders, beside three alphabets that fill a table."""
+    rng = np.random.default_rng(2)
+    script = [chr(0x4E00 + i) for i in range(150)] + [chr(0x20000 + i) for i in range(50)]
+    orders = {lang: "".join(rng.permutation(script)) for lang in ("p", "q")}
+    samples = {lang: "".join(order[i : i + 9] + " " for i in rng.integers(0, 190, 90)) for lang, order in orders.items()}
+    samples |= {
+        lang: "".join(chr(first + i) for i in rng.integers(0, 26, 3000)) + "\n"
+        for lang, first in (("latin", 0x61), ("greek", 0x3B1), ("cyrillic", 0x430))
+    }
+    parser = language.Parser(samples, language.Settings(segment=64))
+    texts = {lang: " ".join(order[i : i + 7] for i in range(0, 180, 13)) for lang, order in orders.items()}
+    bits = parser.entropies([*texts.values(), "".join(script)])
+    for text, row in zip([*texts.values(), "".join(script)], bits):
+        parts = [text[i : i + 64] for i in range(0, len(text), 64)]
+        for lang, cost, found in zip(parser.langs, parser.bits, row):
+            sample = samples[lang].replace("\n", " ")
+            assert found == pytest.approx(cost * sum(phrases(p, sample) for p in parts) / len(text))
+    assert parser.label(list(texts.values()))[0] == ["p", "q"]
+
+
 def test_language_held_out(spark, documents):
     rows = language.predict(documents).join(documents.select("doc_id", "lang"), "doc_id").collect()
     assert len(rows) == documents.count()
