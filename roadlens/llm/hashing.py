@@ -57,22 +57,26 @@ def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return hashes
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and where the words of each text begin in these lists.
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of marked bytes, and where the runs of each text begin in these lists.
 
-    A word is a run without blanks; it never crosses the end of a text.
+    A run never crosses the end of a text.
     """
-    word = ~BLANK[data]
-    first, last = word.copy(), word.copy()
-    first[1:] &= ~word[:-1]
-    last[:-1] &= ~word[1:]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
     edges = offsets[:-1][np.diff(offsets) > 0]  # first bytes of texts
-    first[edges] = word[edges]
-    last[edges[1:] - 1] = word[edges[1:] - 1]
+    first[edges] = inside[edges]
+    last[edges[1:] - 1] = inside[edges[1:] - 1]
     starts = np.flatnonzero(first)
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``runs`` of bytes that are no blanks."""
+    return runs(~BLANK[data], offsets)
+
+
 def blocks(batch: pa.RecordBatch, column: int, most: int):
     """Consecutive slices of a batch with about ``most`` bytes of text (one text at least)."""
     texts = batch.column(column)

@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from roadlens.llm import (
     attribution,
+    crosstoken,
+    divergence,
     exact,
     language,
+    licenses,
     lm,
     mixing,
     neardup,
@@ -74,6 +77,19 @@ def op10_deleted_interpolation(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score(_table(spark, folder, "documents"))
 
 
+def op11_license_notices(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_table(spark, folder, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return crosstoken.align(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergences(_table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -89,6 +105,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_near_dedup": op9_near_dedup,
     "op10_deleted_interpolation": op10_deleted_interpolation,
+    "op11_license_notices": op11_license_notices,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }
 
@@ -135,5 +154,46 @@ WITH RECURSIVE split AS (
 )
 SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN least USING (doc_id)
+""",
+    "op13_source_divergence": r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), found AS (
+  SELECT r, lang, source, unnest(terms) AS term FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS d FROM found GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM counts GROUP BY ALL HAVING sum(d) >= 30
+), langs AS (
+  SELECT lang, coalesce(v, 0)::HUGEINT AS v, coalesce(total, 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang FROM docs)
+    LEFT JOIN (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang) USING (lang)
+), sources AS (
+  SELECT lang, source, coalesce(total, 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM docs)
+    LEFT JOIN (SELECT lang, source, sum(counts.n) AS total FROM counts JOIN kept USING (lang, term)
+      GROUP BY ALL) USING (lang, source)
+), shares AS (
+  SELECT lang, source, term, coalesce(counts.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(counts.n, 0) + 5)) // (sources.total + 5 * v) AS p,
+    1 + (1000000000::HUGEINT * (kept.n + 5)) // (langs.total + 5 * v) AS q
+  FROM sources JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+      FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+      GROUP BY ALL) f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), parts AS (
+  SELECT * FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part
+    ORDER BY value DESC, encode(item)) AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """,
 }
