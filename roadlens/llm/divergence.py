@@ -5,7 +5,7 @@ its texts through Arrow compute functions (``ascii_lower``, ``split_pattern_rege
 hash ``group_by``) and hands out partial counts per (lang, source, term): occurrences, and documents with
 the term. Spark adds them up. A language keeps the terms in at least ``least_documents`` of its documents;
 each kept term with its counts by source is one row of a columnar table, dealt into shards by a hash of
-the term. A shard is a matrix of terms and sources with at most ``cells`` cells (one term at least), and
+the term. A shard is a matrix of terms and sources with about ``cells`` cells at most (one term at least), and
 gives its part of every divergence.
 
 With V kept terms of the language, N their occurrences in a group, and count those of one term, a group
@@ -30,7 +30,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.hashing import blocks
+from roadlens.llm.hashing import blocks, text_bytes
+from roadlens.llm.workers import bound_batches, give_back
 from roadlens.operators.lineage import staged
 
 NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -42,18 +43,20 @@ class Settings:
     prior: int = 5
     scale: int = 1_000_000_000  # a power of 1,000
     top: int = 50  # ranks of part `term`
-    cells: int = 1 << 22  # of the matrix of a shard
+    cells: int = 1 << 22  # of the matrix of a shard at most, and a 32nd of it at least
 
 
-_BLOCK = 4 << 20  # bytes of text counted at once
-_HELD = 1 << 19  # partial counts a worker adds up before it hands them out
+_BLOCK = 1 << 20  # bytes of text counted at once
+_HELD = 1 << 17  # partial counts a worker adds up before it hands them out
 _PARTIAL = "lang string, source string, term string, n long, documents long"
 _KEYS = ["lang", "source", "term"]
 
 
 def _count(block: pa.RecordBatch) -> pa.Table:
     """Occurrences and documents per (lang, source, term) of a block of lang, source, text."""
-    text = block.column(2).cast(pa.large_string())
+    # A fresh array: ascii_lower gives wrong offsets for a slice of a longer one.
+    data, offsets = text_bytes(block.column(2))
+    text = pa.LargeStringArray.from_buffers(len(block), pa.py_buffer(offsets), pa.py_buffer(data))
     lists = pc.split_pattern_regex(pc.ascii_lower(text), NO_TERM)
     rows = pc.list_parent_indices(lists)
     terms = pc.list_flatten(lists)
@@ -105,10 +108,12 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 parts, held, settled = [], 0, 0
     if parts:
         yield from _added(parts).cast(schema).to_batches(max_chunksize=1 << 16)
+    give_back()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """Rows (lang, source, term, n, documents) over all documents."""
+    bound_batches(docs.sparkSession)
     narrow = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     partial = narrow.mapInArrow(_partial_counts, _PARTIAL)
     return partial.groupBy(*_KEYS).agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
@@ -187,7 +192,9 @@ def divergences(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     langs = sizes.groupBy("lang").agg(F.sum("total").alias("total"), F.count(F.lit(1)).alias("sources"))
     count = F.coalesce("kept", F.lit(0))
     langs = langs.join(terms, "lang", "left").select("lang", "total", "sources", count.alias("kept"))
-    shards = F.greatest(F.lit(1), F.ceil(F.col("kept") * F.col("sources") / F.lit(settings.cells)))
+    # A shard gives a row per pair of sources, so it should not have fewer cells than that.
+    cells = F.least(F.lit(settings.cells), F.greatest(F.lit(settings.cells / 32), 4 * F.col("sources") * F.col("sources")))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("kept") * F.col("sources") / cells))
     langs = staged(langs.withColumn("shards", shards))
 
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard")

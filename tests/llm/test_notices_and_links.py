@@ -279,6 +279,24 @@ def test_divergences_against_brute_force(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_terms_of_slices(monkeypatch):
+    """Counts do not depend on how a batch is cut into blocks, nor on when partial counts are added up."""
+    texts = [f"É word{i % 7} äé Word{i % 3} " * (i % 5) + "中" * (i % 4) for i in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"] * 100), pa.array(["s", "t", "u", "v"] * 50), pa.array(texts)], ["lang", "source", "text"])
+    want = Counter()
+    for i, text in enumerate(texts):
+        want.update((("en", "de")[i % 2], "stuv"[i % 4], t) for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(text)))
+    for block, held in ((1 << 22, 1 << 19), (300, 1 << 19), (300, 16)):
+        monkeypatch.setattr(divergence, "_BLOCK", block)
+        monkeypatch.setattr(divergence, "_HELD", held)
+        got = Counter()
+        for part in divergence._partial_counts(iter([batch.slice(0, 90), batch.slice(90)])):
+            part.validate(full=True)
+            for row in part.to_pylist():
+                got[row["lang"], row["source"], row["term"]] += row["n"]
+        assert got == want
+
+
 def test_divergences_on_edge_rows(spark):
     plain = [(r[2] or "", r[3] or "", r[1] or "") for r in edge_rows()]
     got = {tuple(r) for r in divergence.divergences(edge_docs(spark), divergence.Settings(least_documents=1)).collect()}
