@@ -37,21 +37,42 @@ SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS timestamp,
   avg(CASE WHEN event_type = 'signup' THEN value END) AS signup,
   avg(CASE WHEN event_type = 'view' THEN value END) AS view
 FROM events GROUP BY date_trunc('hour', ts)""",
+    # Customers and suppliers are the sensors, their dealings the roads; both grow with the tables.
     "distances": """
-SELECT CAST(c_nationkey AS STRING) AS source_sensor, CAST(s_nationkey AS STRING) AS target_sensor,
-  min(l_extendedprice) AS distance_meters
+SELECT concat('c', CAST(o_custkey AS STRING)) AS source_sensor,
+  concat('s', CAST(l_suppkey AS STRING)) AS target_sensor, min(l_extendedprice) AS distance_meters
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
-WHERE c_nationkey <> s_nationkey
-GROUP BY c_nationkey, s_nationkey""",
-    "route_pairs": """
-SELECT DISTINCT CAST(c_nationkey AS STRING) AS source, CAST(s_nationkey AS STRING) AS target
+GROUP BY o_custkey, l_suppkey
+UNION ALL
+SELECT concat('s', CAST(l_suppkey AS STRING)), concat('c', CAST(o_custkey AS STRING)),
+  min(l_extendedprice + 1000 * l_quantity)
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey""",
+GROUP BY o_custkey, l_suppkey""",
+    # Orders with a key divisible by 100 ask for routes from their customer to their suppliers and back.
+    # No road leads to a region.
+    "route_pairs": """
+SELECT concat('c', CAST(o_custkey AS STRING)) AS source, concat('s', CAST(l_suppkey AS STRING)) AS target
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 100 = 0
+UNION
+SELECT concat('s', CAST(l_suppkey AS STRING)), concat('c', CAST(o_custkey AS STRING))
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 100 = 0 AND l_linenumber = 1
+UNION
+SELECT 's0', r_name FROM region
+UNION
+SELECT concat('s', CAST(s_suppkey AS STRING)), concat('s', CAST(s_suppkey AS STRING)) FROM supplier""",
     "route_readings": """
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS timestamp,
-  CAST(user_id % 25 AS STRING) AS sensor_id, max(value) AS speed
-FROM events GROUP BY date_trunc('day', ts), user_id % 25""",
+  concat('c', CAST(user_id AS STRING)) AS sensor_id, max(value) AS speed
+FROM events GROUP BY date_trunc('day', ts), user_id
+UNION ALL
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP), concat('s', CAST(user_id % 100 AS STRING)), min(value)
+FROM events GROUP BY date_trunc('day', ts), user_id % 100""",
+    "route_wide": """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS timestamp,
+  max(CASE WHEN user_id % 5 = 0 THEN value END) AS s0, max(CASE WHEN user_id % 5 = 1 THEN value END) AS s1,
+  max(CASE WHEN user_id % 5 = 2 THEN value END) AS s2, max(CASE WHEN user_id % 5 = 3 THEN value END) AS s3,
+  max(CASE WHEN user_id % 5 = 4 THEN value END) AS s4
+FROM events GROUP BY date_trunc('day', ts)""",
     "junction_counts": """
 SELECT event_id AS ID, ts AS DateTime, CAST(user_id % 4 + 1 AS INT) AS Junction,
   CAST(floor(value) AS INT) AS Vehicles
@@ -86,6 +107,7 @@ FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS slot,
 _TIMES = {
     "readings_wide": "timestamp",
     "route_readings": "timestamp",
+    "route_wide": "timestamp",
     "vehicle_mix": "slot",
 }
 

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> None:
@@ -56,6 +56,17 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def observed(stage: Callable[[DataFrame], DataFrame], df: DataFrame, **figures: Column) -> tuple[DataFrame, dict]:
+    """The staged rows and aggregates of them, taken while they are written.
+
+    Meant for smallest and largest values, which a task that runs twice cannot change. Without rows a
+    figure is missing.
+    """
+    note = Observation()
+    out = stage(df.observe(note, *[column.alias(name) for name, column in figures.items()]))
+    return out, note.get
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A ``staged`` whose tables are removed at the end; nothing lazy may outlive the block."""
