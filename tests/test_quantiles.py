@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from roadlens.ml import features
 from roadlens.operators import evaluation, junctions
+from roadlens.operators import quantiles as exact
 from roadlens.operators.quantiles import quantiles
 
 
@@ -59,3 +60,39 @@ def test_hour_23_stays_beside_an_unreadable_time(spark):
     table = table.withColumn("DateTime", F.col("DateTime").cast("timestamp_ntz"))
     hours = [r["hour_of_day"] for r in junctions.hourly(junctions.label_flat(table)).collect()]
     assert hours == [None, *range(24)]
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "one value"])
+def test_brackets_are_cut_down_and_settled(spark, monkeypatch, kind):
+    """Coarse sketches and few ranked values, as in very large tables."""
+    monkeypatch.setattr(exact, "FEW", 20)
+    monkeypatch.setattr(exact, "ACCURACY", 100)
+    monkeypatch.setattr(exact, "GRID", 8)
+    rng = np.random.default_rng(1)
+    values = {
+        "spread": rng.normal(0, 1, 8000),
+        "ties": rng.integers(0, 50, 8000).astype(float),
+        "one value": np.concatenate((np.zeros(6000), rng.normal(0, 1, 2000))),
+    }[kind]
+    table = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(values)], "g int, x double")
+    shares = [0.0, 0.001, 0.1, 0.5, 0.73, 0.999, 1.0]
+    for row in quantiles(table, ["x"], shares, by=["g"]).collect():
+        own = sorted(values[row["g"] :: 2])
+        assert row["x"] == [own[max(1, math.ceil(round(s * len(own), 9))) - 1] for s in shares]
+
+
+def test_a_wrong_bracket_is_opened_again(spark, monkeypatch):
+    tries = []
+
+    def brackets(long, wanted, groups, kinds):
+        if not tries:  # as if the sketch had missed
+            for w in wanted:
+                w.low, w.high = 10.0, 20.0
+        tries.append(len(wanted))
+        return right(long, wanted, groups, kinds)
+
+    right = exact._with_brackets
+    monkeypatch.setattr(exact, "_with_brackets", brackets)
+    table = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
+    assert quantiles(table, ["x"], [0.5]).first()["x"] == [49.0]
+    assert tries == [1, 1]
