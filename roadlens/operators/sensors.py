@@ -21,21 +21,41 @@ def sensor_profile(
 ) -> DataFrame:
     """One row per sensor: free-flow speed, mean, deviation, rows, and the latest reading.
 
-    A grouped aggregate (combined before the shuffle), not a window over the sensor. With a
-    sensor list only listed sensors stay; ``copies`` says how often the list names them, and
-    the figures are those of readings repeated that often.
+    Grouped aggregates (combined before the shuffle), not a window over the sensor, in two levels: per
+    sensor and group of tasks, then per sensor, so a sensor with readings in every task is not merged in
+    one place. With a sensor list only listed sensors stay; ``copies`` says how often the list names them,
+    and the figures are those of readings repeated that often. Speeds that are NaN do not count for the
+    free flow.
     """
-    speed = F.col("speed")
-    profile = readings.groupBy("sensor_id").agg(
+    speed, size = F.col("speed").cast("double"), settings.free_flow_sketch
+    group = F.pmod(F.spark_partition_id(), F.lit(settings.task_groups))
+    known = F.count(F.when(~F.isnan(speed), speed))
+    first = readings.withColumn("_group", group).groupBy("sensor_id", "_group").agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile_approx(
-            speed, rules.FREE_FLOW_QUANTILE, settings.quantile_accuracy
-        ).alias("free_flow_speed"),
-        F.avg(speed).alias("sensor_mean_speed"),
-        F.count(speed).alias("known"),
-        F.coalesce(F.stddev(speed), F.lit(0.0)).alias("sensor_std_speed"),
+        F.kll_sketch_agg_double(speed, size).alias("sketch"),
+        known.alias("ranked"),
+        F.struct(F.count(speed).alias("n"), F.avg(speed).alias("mean"), F.stddev(speed).alias("std")).alias("part"),
+        F.sum(speed).alias("total"),
         F.max(F.struct("timestamp", "speed")).alias("latest"),
     )
+    merged = first.groupBy("sensor_id").agg(
+        F.sum("n").alias("n"),
+        F.sum("ranked").alias("ranked"),
+        F.kll_merge_agg_double("sketch", size).alias("sketch"),
+        F.sort_array(F.collect_list(F.when(F.col("part.n") > 0, F.col("part")))).alias("parts"),
+        F.max("latest").alias("latest"),
+        F.sum("total").alias("total"),
+    )
+    free_flow = F.kll_sketch_get_quantile_double("sketch", F.lit(rules.FREE_FLOW_QUANTILE))
+    profile = merged.withColumn("whole", _moments(F.col("parts"))).select(
+        "sensor_id",
+        "n",
+        F.when(F.col("ranked") > 0, free_flow).alias("free_flow_speed"),
+        F.try_divide("total", "whole.n").alias("sensor_mean_speed"),
+        F.coalesce(F.col("whole.n"), F.lit(0)).alias("known"),
+        F.coalesce(F.col("whole.std"), F.lit(0.0)).alias("sensor_std_speed"),
+        "latest",
+    )
     if sensors is None:
         return profile.withColumn("copies", F.lit(1).cast("long"))
     # One row per sensor on both sides, so neither a hot sensor nor a long list can skew this.
@@ -50,6 +70,31 @@ def sensor_profile(
     )
 
 
+def _moments(parts: Column) -> Column:
+    """Number and sample deviation of all rows from those and the means of their parts."""
+
+    def squares(part: Column) -> Column:
+        return F.coalesce(part["std"] * part["std"] * (part["n"] - 1), F.lit(0.0))
+
+    def add(state: Column, part: Column) -> Column:
+        n, apart = state["n"] + part["n"], part["mean"] - state["mean"]
+        return F.struct(
+            n.alias("n"),
+            (state["mean"] + apart * part["n"] / n).alias("mean"),
+            (state["squares"] + squares(part) + apart * apart * state["n"] * part["n"] / n).alias("squares"),
+        )
+
+    one = parts[0]
+    start = F.struct(one["n"].alias("n"), one["mean"].alias("mean"), squares(one).alias("squares"))
+
+    def end(state: Column) -> Column:
+        std = F.sqrt(F.try_divide(state["squares"], state["n"] - 1))
+        return F.struct(state["n"].alias("n"), state["mean"].alias("mean"), std.alias("std"))
+
+    rest = F.aggregate(F.slice(parts, 2, F.greatest(F.lit(1), F.size(parts))), start, add, end)
+    return F.when(F.size(parts) == 1, one).when(F.size(parts) > 1, rest)
+
+
 def sensor_facts(
     readings: DataFrame,
     settings: Settings = DEFAULTS,

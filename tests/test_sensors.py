@@ -1,7 +1,9 @@
 """Edge rows of the sensor operators."""
 
+import math
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +133,26 @@ def test_constants_and_drops(spark):
     filled = reshape.fill_constants(table, numbers=["n"], texts=["s"])
     assert [tuple(r) for r in filled.collect()] == [(0.0, "Unknown"), (1.0, "x")]
     assert reshape.keep_known(table).count() == 1
+
+
+def test_profile_in_two_levels(spark):
+    """Rows of a sensor in many tasks: merged figures are those of all rows, the sketch exact up to its size."""
+    rng = np.random.default_rng(4)
+    rows = [("hot", float(v)) for v in rng.normal(50, 9, 3000).round(3)] + [("cold", 7.0), ("gap", None), ("gap", 3.0), ("none", None)]
+    table = readings(spark, rows).repartition(12)
+    got = {r["sensor_id"]: r for r in sensors.sensor_profile(table, Settings(task_groups=5)).collect()}
+    speeds = np.array([v for s, v in rows if s == "hot"])
+    hot = got["hot"]
+    assert hot["free_flow_speed"] == np.sort(speeds)[math.ceil(0.95 * len(speeds)) - 1]
+    assert hot["sensor_mean_speed"] == pytest.approx(speeds.mean()) and hot["n"] == hot["known"] == 3000
+    assert hot["sensor_std_speed"] == pytest.approx(speeds.std(ddof=1))
+    assert hot["latest"]["speed"] == rows[2999][1]
+    assert (got["cold"]["free_flow_speed"], got["cold"]["sensor_std_speed"]) == (7.0, 0.0)
+    assert (got["gap"]["free_flow_speed"], got["gap"]["known"], got["gap"]["n"]) == (3.0, 1, 2)
+    assert (got["none"]["free_flow_speed"], got["none"]["sensor_mean_speed"], got["none"]["known"]) == (None, None, 0)
+
+
+def test_free_flow_beyond_the_sketch(spark):
+    rows = readings(spark, [("a", float(v)) for v in range(20_000)]).repartition(6)
+    found = sensors.sensor_profile(rows, Settings(free_flow_sketch=400, task_groups=3)).first()["free_flow_speed"]
+    assert abs(found / 20_000 - 0.95) < 0.03
