@@ -91,18 +91,17 @@ def small_volume_forest(trees: int = 150, depth: int = DEEP, bootstrap: bool = T
     return Pipeline(stages=[_assembled(features.SMALL_VOLUME_INPUTS), forest])
 
 
-def _situation(classifier: Estimator) -> Pipeline:
+def situation_inputs() -> Pipeline:
     inputs = [*features.SITUATION_INPUTS, "DayOfWeek_encoded"]
     return Pipeline(
-        stages=[
-            *_encoded(["DayOfWeek"], False),
-            label_indexer("TrafficSituation"),
-            _assembled(inputs),
-            classifier,
-        ]
+        stages=[*_encoded(["DayOfWeek"], False), label_indexer("TrafficSituation"), _assembled(inputs)]
     )
 
 
+def _situation(classifier: Estimator) -> Pipeline:
+    return Pipeline(stages=[*situation_inputs().getStages(), classifier])
+
+
 def situation_forest(trees: int = 120, depth: int = 10) -> Pipeline:
     return _situation(
         RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_FOREST)
@@ -110,7 +109,8 @@ def situation_forest(trees: int = 120, depth: int = 10) -> Pipeline:
 
 
 def _boosted(rounds: int, depth: int, n_classes: int, step: float = 0.1, weight=None) -> Estimator:
-    """Boosted trees know two classes; more are split one against the rest."""
+    """Spark's boosted trees know two classes; more are split one against the rest. For softmax over all
+    classes see ``boosting``."""
     trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=SEED)
     if n_classes <= 2:
         trees.setLabelCol(LABEL)
@@ -134,9 +134,13 @@ def small_risk_forest(trees: int = 200, depth: int = DEEP) -> Pipeline:
     return Pipeline(stages=[label_indexer("risk_level"), *inputs, forest])
 
 
-def _risk(classifier: Estimator, numbers: Sequence[str]) -> Pipeline:
+def risk_inputs(numbers: Sequence[str] = features.RISK_NUMBERS) -> Pipeline:
     inputs = scaled_inputs(numbers, features.RISK_TEXTS)
-    return Pipeline(stages=[label_indexer("risk_level"), *inputs, classifier])
+    return Pipeline(stages=[label_indexer("risk_level"), *inputs])
+
+
+def _risk(classifier: Estimator, numbers: Sequence[str]) -> Pipeline:
+    return Pipeline(stages=[*risk_inputs(numbers).getStages(), classifier])
 
 
 def risk_logistic(numbers: Sequence[str] = features.RISK_NUMBERS, rounds: int = 2000) -> Pipeline:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.config import DEFAULTS, Settings
-from roadlens.ml import features, models, scoring
+from roadlens.ml import boosting, features, models, scoring
 from roadlens.operators import evaluation
 from roadlens.operators.lineage import staged
 from roadlens.operators.reshape import medians
@@ -40,7 +40,7 @@ def evaluate_classes(name: str, model: PipelineModel, test: DataFrame, label: st
 
 def train_volume(
     counts: DataFrame,
-    ties: Sequence[str] = (),
+    ties: Sequence[str] | None = None,
     settings: Settings = DEFAULTS,
     trees: int = 150,
     depth: int = 12,
@@ -72,19 +72,62 @@ def train_situation(
     depth: int = 10,
     rounds: int = 80,
     boosted_depth: int = 6,
+    softmax: bool = True,
 ) -> list[Fitted]:
-    """Situation classifiers on the prepared vehicle mix: forest and boosted trees."""
+    """Situation classifiers on the prepared vehicle mix: forest and boosted trees.
+
+    More than two classes are boosted together (softmax), or one against the rest.
+    """
     data = staged(prepared)
     n_classes = evaluation.distinct_labels(data, "TrafficSituation").first()["n_classes"]
     train, test = features.random_split(data, key)
     forest = models.situation_forest(trees, depth).fit(train)
-    boosted = models.situation_boosted(n_classes, rounds, boosted_depth).fit(train)
+    if softmax and n_classes > 2:
+        boosted = fit_softmax(models.situation_inputs(), train, n_classes, rounds, boosted_depth)
+    else:
+        boosted = models.situation_boosted(n_classes, rounds, boosted_depth).fit(train)
     return [
         evaluate_classes("Random forest", forest, test, "TrafficSituation"),
         evaluate_classes("Boosted trees", boosted, test, "TrafficSituation"),
     ]
 
 
+def fit_softmax(
+    inputs: Pipeline, train: DataFrame, n_classes: int, rounds: int, depth: int, step: float = 0.1
+) -> PipelineModel:
+    """Inputs and a softmax booster of one size, as one model."""
+    prepared = inputs.fit(train)
+    fitted = boosting.fit(prepared.transform(train), n_classes, [boosting.Member(step)], rounds, depth)
+    return PipelineModel([*prepared.stages, fitted.model(0, rounds)])
+
+
+def search_softmax(
+    inputs: Pipeline,
+    folded: DataFrame,
+    n_classes: int,
+    rounds: Sequence[int],
+    steps: Sequence[float],
+    depth: int,
+    folds: int,
+) -> tuple[PipelineModel, DataFrame]:
+    """The best softmax booster of a grid by weighted F1 on held-out folds, and the grid's scores.
+
+    All cells of the grid grow in one fit: a step size with and without each fold is a member, and fewer
+    rounds are the beginning of more. Among equals the cell with fewer rounds and the earlier step wins.
+    """
+    prepared = inputs.fit(folded)
+    rows = prepared.transform(folded)
+    members = [boosting.Member(step, out) for step in steps for out in (None, *range(folds))]
+    fitted = boosting.fit(rows, n_classes, members, max(rounds), depth, fold="fold")
+    counts = boosting.held_out_counts(rows, fitted, rounds, "fold")
+    each = evaluation.classification_metrics(counts, ["member", "rounds"])
+    place = F.floor(F.col("member") / (folds + 1)).cast("int").alias("step")
+    scores = staged(each.groupBy("rounds", place).agg(F.avg("f1_score").alias("f1_score")))
+    best = scores.orderBy(F.col("f1_score").desc(), "rounds", "step").first()
+    winner = fitted.model(best["step"] * (folds + 1), best["rounds"])
+    return PipelineModel([*prepared.stages, winner]), scores
+
+
 def train_small_situation(mix: DataFrame, key: str, trees: int = 200) -> Fitted:
     data = staged(features.small_situation_features(mix))
     train, test = features.stratified_split(data, key, "traffic_situation")
@@ -136,10 +179,12 @@ def train_risk(
     steps: Sequence[float] = (0.05, 0.1),
     folds: int = 3,
     boosted: bool = True,
+    softmax: bool = True,
 ) -> list[Fitted]:
     """Three risk classifiers on one stratified split.
 
-    ``no_leak`` leaves out the scores the label is derived from.
+    ``no_leak`` leaves out the scores the label is derived from. More than two classes are boosted
+    together (softmax), or one against the rest.
     """
     numbers = features.RISK_NUMBERS_NO_LEAK if no_leak else features.RISK_NUMBERS
     data = staged(features.risk_features(roads))
@@ -153,9 +198,12 @@ def train_risk(
     ]
     if boosted:
         n_classes = evaluation.distinct_labels(weighted, "risk_level").first()["n_classes"]
-        grid = models.risk_boosted(n_classes, numbers, rounds, steps, folds=folds)
         folded = staged(features.with_folds(weighted, key, "risk_level", folds))
-        fitted.append(("Gradient Boosting", grid.fit(folded).bestModel))
+        if softmax and n_classes > 2:
+            best, _ = search_softmax(models.risk_inputs(numbers), folded, n_classes, rounds, steps, 3, folds)
+        else:
+            best = models.risk_boosted(n_classes, numbers, rounds, steps, folds=folds).fit(folded).bestModel
+        fitted.append(("Gradient Boosting", best))
     return [evaluate_classes(name, model, test, "risk_level") for name, model in fitted]
 
 
