@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from itertools import accumulate
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import StringIndexerModel
@@ -16,6 +20,8 @@ from roadlens.functions.bands import lookup
 from roadlens.ml import features
 from roadlens.ml.models import LABEL
 
+_LEAF = re.compile(r"Predict: (\S+)")
+
 
 def class_names(model: PipelineModel) -> list[str]:
     """Classes in the order of the model's label index."""
@@ -75,21 +81,35 @@ def with_fare(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("predicted_fare", rules.flat_fare(F.col("prediction")))
 
 
+def with_votes(forest, rows: DataFrame, votes: str = "votes") -> DataFrame:
+    """Adds the forest's prediction and an array with the prediction of every tree.
+
+    The forest tells the leaf of every tree in one walk; the leaves' values, as the trees list them from
+    left to right, are one array behind all rows. So the plan does not grow with the number of trees.
+    """
+    leaves = [[float(value) for value in _LEAF.findall(tree.toDebugString)] for tree in forest.trees]
+    starts = np.array([0, *accumulate(map(len, leaves))][:-1])
+    values = np.array([value for own in leaves for value in own])
+
+    @F.pandas_udf("array<double>")
+    def of_leaves(places: pd.Series) -> pd.Series:
+        if not len(places):
+            return pd.Series([], dtype=object)
+        return pd.Series(list(values[np.stack(places.to_numpy()).astype(np.int64) + starts]))
+
+    scored = forest.copy({forest.leafCol: "_leaves"}).transform(rows)
+    return scored.withColumn(votes, of_leaves(vector_to_array("_leaves"))).drop("_leaves")
+
+
 def volume_with_confidence(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Predicted volume, and 1 - spread of the trees / max(|prediction|, 1) kept in 0..1."""
-    scored = model.transform(rows)
-    forest = model.stages[-1]
-    inputs = scored.columns
-    for place, tree in enumerate(forest.trees):
-        scored = tree.setPredictionCol(f"_vote_{place}").transform(scored)
-    votes = F.array(*[F.col(f"_vote_{place}") for place in range(len(forest.trees))])
+    scored = with_votes(model.stages[-1], PipelineModel(model.stages[:-1]).transform(rows), "_votes")
     # The forest's own prediction is the mean of its trees.
     squares = F.transform("_votes", lambda vote: F.pow(vote - F.col("prediction"), 2))
     spread = F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, b: a + b) / F.size("_votes"))
     relative = spread / F.greatest(F.abs("prediction"), F.lit(1.0))
     confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - relative))
-    narrow = scored.select(*inputs, votes.alias("_votes"))
-    return narrow.withColumn("confidence_score", F.round(confidence, 4)).drop("_votes")
+    return scored.withColumn("confidence_score", F.round(confidence, 4)).drop("_votes")
 
 
 # Names of the three request models and of what they predict.

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.functions.scalars import uniform_hash
+from roadlens.operators.lineage import staging
 from roadlens.operators.ordered import row_positions, running_totals
 
 REPORT = ("precision", "recall", "f1_score")
@@ -242,47 +244,64 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean loss of weighted F1 when one feature's values are dealt to other rows at random.
 
-    ``predict`` adds a ``predicted`` column in the terms of ``actual``. A random deal is the
-    join of the rows in one seeded order with the rows in another. All features are scored in
-    one pass: every row appears once per feature, with that feature replaced, and in the first
-    repeat once as is.
+    ``predict`` adds a ``predicted`` column in the terms of ``actual``. The rows are numbered once, in a
+    seeded order; every repeat deals them by another keyed permutation of the numbers, so nothing is
+    sorted again and one join serves all repeats. All features are scored in one pass: every row appears
+    once per repeat and feature, with that feature replaced, and in the first repeat once as is.
     """
-    base = row_positions(
-        rows.select(key, actual, *features).withColumn("_h", uniform_hash(F.col(key), seed)),
-        ["_h", key],
-    ).drop("_h")
-    losses = None
-    for repeat in range(1, repeats + 1):
-        dealt = row_positions(
-            rows.select(key, *features).withColumn(
-                "_h", uniform_hash(F.col(key), seed + repeat)
-            ),
-            ["_h", key],
-        ).select("position", *[F.col(f).alias(f"_other_{f}") for f in features])
-        paired = base.join(dealt, "position")
-        versions = [
-            F.struct(
-                F.lit(changed).alias("feature"),
-                *[F.col(f"_other_{f}" if f == changed else f).alias(f) for f in features],
-            )
-            for changed in (("", *features) if repeat == 1 else features)
-        ]
-        every = paired.select(actual, F.explode(F.array(*versions)).alias("v"))
-        scored = predict(every.select(actual, "v.*"))
-        matrix = scored.groupBy("feature", F.col(actual).alias("actual"), "predicted").agg(
-            F.count(F.lit(1)).alias("n")
+    spark = rows.sparkSession
+    with staging(spark) as stage:
+        numbered = rows.select(key, actual, *features).withColumn("_h", uniform_hash(F.col(key), seed))
+        base = stage(row_positions(numbered, ["_h", key]).drop("_h", key))
+        n = base.count()
+        own = base.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+        own = own.withColumn("_other", permuted(F.col("position"), n, seed, F.col("repeat")))
+        dealt = base.select(F.col("position").alias("_other"), *[F.col(f).alias(f"_other_{f}") for f in features])
+        paired = own.join(dealt, "_other")
+
+        def version(changed: str) -> Column:
+            values = [F.col(f"_other_{f}" if f == changed else f).alias(f) for f in features]
+            return F.struct(F.lit(changed).alias("feature"), *values)
+
+        replaced = [version(f) for f in features]
+        versions = F.when(F.col("repeat") == 1, F.array(version(""), *replaced)).otherwise(F.array(*replaced))
+        every = paired.select(actual, "repeat", F.explode(versions).alias("v"))
+        scored = predict(every.select(actual, "repeat", "v.*"))
+        matrix = stage(
+            scored.groupBy("repeat", "feature", F.col(actual).alias("actual"), "predicted").agg(F.count(F.lit(1)).alias("n"))
         )
-        f1 = classification_metrics(matrix, ["feature"]).select(
-            F.lit(repeat).alias("repeat"), "feature", "f1_score"
-        )
-        losses = f1 if losses is None else losses.unionByName(f1)
-    whole = F.max(F.when(F.col("feature") == "", F.col("f1_score")))
-    baseline = losses.agg(whole).scalar()
-    return (
-        losses.where(F.col("feature") != "")
-        .groupBy("feature")
-        .agg((baseline - F.avg("f1_score")).alias("importance"))
-    )
+        f1 = classification_metrics(matrix, ["repeat", "feature"])
+        losses = f1.groupBy("feature").agg(F.avg("f1_score").alias("f1")).collect()
+    whole = next((row["f1"] for row in losses if row["feature"] == ""), None)
+    found = [(row["feature"], whole - row["f1"]) for row in losses if row["feature"]]
+    return spark.createDataFrame(found, "feature string, importance double")
+
+
+def permuted(place: Column, n: int, seed: int, key: Column, rounds: int = 6) -> Column:
+    """Where a keyed permutation of 0 .. n - 1 takes a place.
+
+    The places are laid out as a grid of about sqrt(n) rows and columns. Every round moves a row number by
+    a hash of the column number and the other way about, which can be undone, so no two places meet. The
+    few that land behind n go round again.
+    """
+    wide = max(1, math.isqrt(max(0, n - 1)) + 1)
+    high = max(1, -(-n // wide))
+
+    def once(at: Column) -> Column:
+        pair = F.struct(F.floor(at / wide).alias("row"), F.pmod(at, F.lit(wide)).alias("column"))
+
+        def step(state: Column, turn: Column) -> Column:
+            row = F.pmod(state["row"] + F.pmod(F.xxhash64(F.lit(seed), key, turn, state["column"]), F.lit(high)), F.lit(high))
+            column = F.pmod(state["column"] + F.pmod(F.xxhash64(F.lit(~seed), key, turn, row), F.lit(wide)), F.lit(wide))
+            return F.struct(row.alias("row"), column.alias("column"))
+
+        turns = F.sequence(F.lit(1), F.lit(rounds))
+        return F.aggregate(turns, pair, step, lambda state: state["row"] * wide + state["column"])
+
+    # A walk stays behind n with a chance below 1 / sqrt(n) each time.
+    walks = F.sequence(F.lit(1), F.lit(64))
+    end = F.aggregate(walks, once(place), lambda at, _: F.when(at < n, at).otherwise(once(at)))
+    return F.when(end < n, end).otherwise(F.raise_error(F.lit("A permutation's walk did not end.")).cast("long"))
 
 
 def top_importances(importances: DataFrame, limit: int = 20) -> DataFrame:

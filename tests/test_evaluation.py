@@ -126,3 +126,39 @@ def test_class_weights_balance(spark):
         F.sum("class_weight").alias("w")
     )
     assert [round(r["w"], 6) for r in total.collect()] == [50.0, 50.0]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 100, 1_000, 1_024, 1_025])
+def test_permuted_places_are_a_permutation(spark, n):
+    table = spark.range(n).select("id", *[
+        evaluation.permuted(F.col("id"), n, 42, F.lit(key)).alias(f"p{key}") for key in (1, 2)
+    ])
+    rows = table.collect()
+    for key in (1, 2):
+        assert sorted(r[f"p{key}"] for r in rows) == list(range(n))
+    if n >= 100:
+        assert sum(r["p1"] == r["id"] for r in rows) < 8 and sum(r["p1"] == r["p2"] for r in rows) < 8
+
+
+def test_permutation_importance_against_dealt_rows(spark):
+    """The loss of a rule, from the very rows the permutations deal."""
+    rows = [(i, "abc"[i % 3], float(i % 3), i % 5) for i in range(97)]
+    table = spark.createDataFrame(rows, "id int, actual string, used double, idle int")
+
+    def predict(df):
+        return df.withColumn("predicted", F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.col("used").cast("int") + 1))
+
+    got = evaluation.permutation_importance(table, "id", ["used", "idle"], predict, repeats=5, seed=3).collect()
+    places = spark.range(97).select("id", *[evaluation.permuted(F.col("id"), 97, 3, F.lit(r)).alias(f"p{r}") for r in range(1, 6)]).collect()
+    numbered = evaluation.row_positions(table.withColumn("_h", evaluation.uniform_hash(F.col("id"), 3)), ["_h", "id"])
+    classes = [r["actual"] for r in numbered.orderBy("position").collect()]
+    loss = 0.0
+    for r in range(1, 6):
+        pairs = [(classes[p["id"]], classes[p[f"p{r}"]]) for p in places]
+        f1 = 0.0
+        for c in "abc":
+            hits = sum(a == c == b for a, b in pairs)
+            both = sum(a == c for a, _ in pairs) + sum(b == c for _, b in pairs)
+            f1 += 2 * hits / both * sum(a == c for a, _ in pairs) / len(pairs)
+        loss += (1 - f1) / 5
+    assert {r["feature"]: round(r["importance"], 9) for r in got} == {"used": round(loss, 9), "idle": 0.0}

@@ -94,3 +94,22 @@ def test_all_model_inputs_are_request_fields():
     from roadlens.operators.requests import FIELDS
 
     assert set(scoring.request_columns()) <= set(FIELDS)
+
+
+def test_votes_are_those_of_the_trees(volumes):
+    forest = models.small_volume_forest(trees=12, depth=9).fit(volumes)
+    inputs = forest.stages[0].transform(volumes).limit(40)
+    rows = scoring.with_votes(forest.stages[-1], inputs).collect()
+    for row in rows:
+        assert row["votes"] == [tree.predict(row["features"]) for tree in forest.stages[-1].trees]
+        assert row["prediction"] == pytest.approx(np.mean(row["votes"]))
+    assert any(np.std(row["votes"]) > 0 for row in rows)
+
+
+def test_the_plan_does_not_grow_with_the_trees(volumes):
+    sizes = []
+    for trees in (3, 30):
+        model = models.small_volume_forest(trees=trees, depth=3).fit(volumes)
+        plan = scoring.volume_with_confidence(model, volumes)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(plan.count("\n"))
+    assert sizes[0] == sizes[1]
