@@ -67,10 +67,11 @@ def junction_report(counts: DataFrame, preview: int = 20) -> dict[str, DataFrame
     }
 
 
-def _risk_tables(scored: DataFrame, ties: Sequence[str], limit: int, settings: Settings):
+def _risk_tables(scored: DataFrame, ties: Sequence[str] | None, limit: int, settings: Settings):
     partial = staged(roads.cube(scored))
     hourly = roads.from_cube(partial, "hour").select("hour", "avg_total_risk_score")
-    line = ["date_time", *ties]
+    # Without ``ties`` all columns order rows of one time, so no partitioning changes the result.
+    line = ["date_time", *([c for c in scored.columns if c != "date_time"] if ties is None else ties)]
     changes = roads.transitions(scored, line)
     return partial, {
         "hour_extremes": junctions.extremes(hourly, ["hour"], "avg_total_risk_score"),
@@ -81,7 +82,7 @@ def _risk_tables(scored: DataFrame, ties: Sequence[str], limit: int, settings: S
 
 
 def risk_summary(
-    conditions: DataFrame, ties: Sequence[str] = (), settings: Settings = DEFAULTS
+    conditions: DataFrame, ties: Sequence[str] | None = None, settings: Settings = DEFAULTS
 ) -> dict[str, DataFrame]:
     """Riskiest and safest hour, level table, first risk transitions."""
     scored = rules.score_risk(roads.with_hour(conditions), "summary")
@@ -90,7 +91,7 @@ def risk_summary(
 
 
 def risk_intelligence(
-    conditions: DataFrame, ties: Sequence[str] = (), settings: Settings = DEFAULTS
+    conditions: DataFrame, ties: Sequence[str] | None = None, settings: Settings = DEFAULTS
 ) -> dict[str, DataFrame]:
     """Scored rows with reasons, hour and level table, transitions."""
     scored = roads.intelligence(conditions)

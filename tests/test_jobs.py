@@ -234,3 +234,22 @@ def test_streamed_alerts_equal_batch(spark, tmp_path):
     want = alerts.live_alerts(readings, free_flow)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert got.count() > 0
+
+
+def test_reports_do_not_depend_on_partitions(spark):
+    """Many rows of one time, default arguments, two partitionings: equal rows."""
+    table = spark.range(400).select(
+        F.date_trunc("day", F.timestamp_seconds(F.col("id") * 7_000)).cast("timestamp_ntz").alias("date_time"),
+        (F.col("id") * 37 % 6_000).cast("double").alias("traffic_volume"),
+        (F.col("id") * 53 % 300).cast("double").alias("air_pollution_index"),
+        (F.col("id") % 7).cast("double").alias("visibility_in_miles"),
+        F.element_at(F.array(F.lit("fog"), F.lit("light rain"), F.lit("sky is clear")), (F.col("id") % 3 + 1).cast("int")).alias("weather_description"),
+        F.lit("Clouds").alias("weather_type"),
+        (F.col("id") % 101).cast("double").alias("humidity"),
+        (F.col("id") % 40 + 270).cast("double").alias("temperature"),
+        (F.col("id") % 5).cast("double").alias("rain_p_h"),
+        (F.col("id") % 2).cast("double").alias("snow_p_h"),
+    )
+    for report in (reports.risk_summary, reports.risk_intelligence):
+        one, many = (report(table.repartition(n))["transitions"].collect() for n in (1, 7))
+        assert sorted(map(repr, one)) == sorted(map(repr, many)) and one

@@ -1,5 +1,8 @@
 """Rule tables on and around their bounds."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,3 +141,27 @@ def test_plain_text_and_epoch(spark):
     seconds = scalars.epoch_seconds(scalars.parse_time(F.col("t")))
     rows = [("1970-01-02 00:00:01",), ("not a time",), ("1969-12-31 23:59:59",)]
     assert values(spark, "t string", rows, seconds) == [86401, None, -1]
+
+
+def test_clock_hours_by_word_borders(spark):
+    """Generated marks beside AM and PM, against a plain statement of the rule."""
+    rng = random.Random(6)
+    marks = ["", " ", "!", "?", "*", "'", '"', ".", "_", "x", "é", "1", "\t", "\x0b", "-", "[", "|"]
+    texts = ["2:30 PM!", "2:30 'PM'", "12:05 AM*", "AM PM 12:00", "12:00 PM AM", "12:00 AM PM", "", "PM", "123 pm", "7pm", "7 pm"]
+    for _ in range(400):
+        half = "".join(rng.choice(marks) + rng.choice(["AM", "pm", "Pm", "am", "xm"]) + rng.choice(marks) for _ in range(rng.randrange(3)))
+        texts.append(rng.choice(["", " ", "\t", "\x0c"]) + str(rng.choice([0, 1, 2, 11, 12, 13, 23, 99, 123])) + rng.choice([":15", ":00:00", "", " "]) + half)
+
+    def rule(text):
+        number = re.match(r"[ \t\n\x0b\f\r]*([0-9]{1,2})", text)
+        if number is None:
+            return None
+        hour = int(number[1])
+        word = re.search(r"(?<!\w)(am|pm)(?!\w)", text, re.I)
+        if word and word[1].lower() == "am" and hour == 12:
+            return 0
+        return hour + 12 if word and word[1].lower() == "pm" and hour < 12 else hour
+
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = table.select("t", scalars.clock_hour(F.col("t")).alias("h")).collect()
+    assert [(r["t"], r["h"]) for r in got if r["h"] != rule(r["t"])] == []
