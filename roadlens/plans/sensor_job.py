@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens import schemas
 from roadlens.config import DEFAULTS, DatasetLayout, Settings
 from roadlens.operators import routing, sensors
 from roadlens.operators.lineage import staging
@@ -32,25 +33,37 @@ COUNTED = {
 
 
 def run(
-    spark: SparkSession, layout: DatasetLayout, output: str, settings: Settings = DEFAULTS
+    spark: SparkSession,
+    layout: DatasetLayout,
+    output: str,
+    settings: Settings = DEFAULTS,
+    day: str | None = None,
 ) -> DataFrame:
     """Write all result tables and ``summary.json`` under ``output``; returns the summary row.
 
-    The text is parsed once, the sensors are profiled once, and grouping and windows run once,
-    each into a staged table that is removed at the end; every result is a narrow scan of the last. The profile's stored
-    size also lets Spark decide on a broadcast before it shuffles any reading.
+    The text is parsed once, the sensors are profiled once, and grouping and windows run once, each into a
+    staged table that is removed at the end. The last is laid out by day and sensor, so every result is a
+    narrow scan of it, written by day with sensors together. The profile's stored size also lets Spark
+    decide on a broadcast before it shuffles any reading. With ``day`` only that day's folders are
+    replaced; windows still reach into the days before it. The summary counts all that is there then.
     """
     with staging(spark) as stage:
         readings = stage(readers.sensor_readings(spark, layout))
         listed = readers.sensor_list(spark, layout)
         profile = stage(sensors.sensor_profile(readings, settings, listed))
-        facts = stage(sensors.sensor_facts(readings, settings, profile=profile))
+        facts = sensors.sensor_facts(readings, settings, profile=profile)
+        if day is not None:
+            facts = facts.where(F.to_date("timestamp") == F.lit(day).cast("date"))
+        line = ["_day", "sensor_id", "timestamp"]
+        facts = facts.withColumn("_day", F.to_date("timestamp"))
+        facts = stage(facts.repartitionByRange(*line).sortWithinPartitions(*line).drop("_day"))
         for name, table in result_tables(facts, settings).items():
-            sinks.write_table(table, f"{output}/{name}")
+            sinks.write_days(table, f"{output}/{name}", only_these=day is not None)
     counts = {
-        field: sinks.rows_written(spark, f"{output}/{name}") for field, name in COUNTED.items()
+        field: sinks.rows_written(spark, f"{output}/{name}", schemas.RESULT_TABLES[name])
+        for field, name in COUNTED.items()
     }
-    alerts = spark.read.parquet(f"{output}/congestion_alerts.parquet")
+    alerts = readers.result_table(spark, output, "congestion_alerts.parquet")
     summary = run_summary(spark, layout.dataset, counts, sensors.top_sensors(alerts))
     sinks.write_document(summary, f"{output}/summary.json")
     return spark.read.schema(summary.schema).json(f"{output}/summary.json")
@@ -87,7 +100,9 @@ def dashboard(spark: SparkSession, output: str, sensor_id: str | None = None):
     return {
         "most_congested_now": sensors.most_congested_now(metrics),
         "sensor_choices": sensors.sensor_choices(forecast),
-        "sensor_history": sensors.sensor_history(forecast, sensor_id or first),
+        "sensor_history": sensors.sensor_history(
+            readers.result_table(spark, output, "traffic_forecast.parquet", sensor_id=sensor_id or first), sensor_id or first
+        ),
         "parking_fee_distribution": sensors.parking_fee_distribution(prices),
         "top_charges": sensors.top_charges(prices),
         "latest_anomalies": sensors.latest_anomalies(anomalies),

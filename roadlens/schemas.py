@@ -47,6 +47,7 @@ PRICING = (
     " congestion_charge_usd double, parking_fee_usd double"
 )
 
+DAY = "day"  # the folder column of the result tables
 # Result folder of the sensor job -> schema of the table in it.
 RESULT_TABLES = {
     "traffic_metrics.parquet": METRICS,

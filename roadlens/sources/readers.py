@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlens import schemas
@@ -75,14 +75,30 @@ def vehicle_mix(spark: SparkSession, path: str) -> DataFrame:
     return reshape.as_numbers(table, [*schemas.VEHICLE_CLASSES, "Total"])
 
 
-def result_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One table of the sensor job; empty, with the right columns, if it was never written."""
+def result_table(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    days: tuple[str, str] | None = None,
+    sensor_id: str | Column | None = None,
+) -> DataFrame:
+    """One table of the sensor job; empty, with the right columns, if it was never written.
+
+    ``days`` (first, last) reads the folders of these days only, ``sensor_id`` only row groups that may
+    hold the sensor.
+    """
+    schema = schemas.RESULT_TABLES[name]
     try:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}")
+        table = spark.read.schema(f"{schema}, {schemas.DAY} date").parquet(f"{folder.rstrip('/')}/{name}")
     except AnalysisException as error:
         if _missing(error):
-            return spark.createDataFrame([], schemas.RESULT_TABLES[name])
+            return spark.createDataFrame([], schema)
         raise
+    if days is not None:
+        table = table.where(F.col(schemas.DAY).between(*[F.lit(day).cast("date") for day in days]))
+    if sensor_id is not None:
+        table = table.where(F.col("sensor_id") == sensor_id)
+    return table.drop(schemas.DAY)
 
 
 def run_summary(spark: SparkSession, folder: str) -> DataFrame | None:

@@ -9,6 +9,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadlens import schemas
+
 
 # Spark writes times in text files to the millisecond unless told otherwise.
 _WHOLE_TIMES = {
@@ -21,9 +23,20 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").parquet(path, partitionBy=list(partition_by) or None)
 
 
-def rows_written(spark: SparkSession, path: str) -> int:
+def write_days(df: DataFrame, path: str, only_these: bool = False) -> None:
+    """A table with a ``timestamp``, a folder for each day.
+
+    ``only_these`` replaces the days that ``df`` has rows of and leaves the others as they are. Rows keep
+    their order, so a reader can pass over row groups of other sensors in a table sorted by sensor.
+    """
+    mode = "dynamic" if only_these else "static"
+    by_day = df.withColumn(schemas.DAY, F.to_date("timestamp"))
+    by_day.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(schemas.DAY).parquet(path)
+
+
+def rows_written(spark: SparkSession, path: str, schema: str) -> int:
     """Row count from the Parquet footers; exact even if tasks of the write ran twice."""
-    return spark.read.parquet(path).count()
+    return spark.read.schema(schema).parquet(path).count()
 
 
 def write_csv(df: DataFrame, path: str) -> None:

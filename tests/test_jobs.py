@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -71,6 +72,49 @@ def test_dashboard_tables(spark, output, tmp_path):
     assert readers.run_summary(spark, str(tmp_path)) is None
 
 
+def content(spark, output):
+    return {
+        name: sorted(map(repr, readers.result_table(spark, output, name).collect()))
+        for name in schemas.RESULT_TABLES
+    }
+
+
+def files_by_day(output, name):
+    return {p.name: sorted(f.name for f in p.glob("*.parquet")) for p in Path(output, name).glob("day=*")}
+
+
+def test_one_day_again_leaves_the_others(spark, dataset, output, tmp_path):
+    """60 readings every 20 minutes lie in one day and the next."""
+    folder = str(tmp_path / "again")
+    sensor_job.run(spark, dataset, folder)
+    first = START.date()
+    before = files_by_day(folder, "traffic_metrics.parquet")
+    sensor_job.run(spark, dataset, folder, day=str(first))
+    after = files_by_day(folder, "traffic_metrics.parquet")
+    assert set(before) == set(after)
+    assert {d for d in before if before[d] != after[d]} == {f"day={first}"}
+    assert content(spark, folder) == content(spark, output)
+    assert readers.run_summary(spark, folder).first() == readers.run_summary(spark, output).first()
+    other = str(tmp_path / "empty")
+    sensor_job.run(spark, dataset, other, day="1999-01-01")  # no rows at all
+    assert set(map(len, content(spark, other).values())) == {0}
+
+
+def test_readers_of_one_day_and_sensor_pass_over_the_rest(spark, output):
+    first = str(START.date())
+    table = readers.result_table(spark, output, "traffic_forecast.parquet", (first, first), "s2")
+    every = readers.result_table(spark, output, "traffic_forecast.parquet")
+    want = every.where((F.to_date("timestamp") == F.lit(first).cast("date")) & (F.col("sensor_id") == "s2"))
+    assert sorted(table.collect()) == sorted(want.collect()) and table.columns == every.columns
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    filters = {line.split(":")[0].strip(): line for line in re.split(r", (?=\w+: )|\n", plan)}
+    assert "day" in filters["PartitionFilters"] and "sensor_id,s2" in filters["PushedFilters"]
+    # Sensors stand together in every file.
+    for path in Path(output, "traffic_metrics.parquet").glob("day=*/*.parquet"):
+        own = [r["sensor_id"] for r in spark.read.parquet(str(path)).collect()]
+        assert own == sorted(own)
+
+
 def test_route_job(spark, dataset):
     pairs = spark.createDataFrame([("s1", "s3"), ("s3", "s1")], "source string, target string")
     rows = {r["source"]: r for r in sensor_job.routes(spark, dataset, pairs).collect()}
