@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.ml_queries import _risk, _risk_sql
-from checks.sensor_queries import _ALERTS, _BASE, _METRICS, _PRICES, rounded
+from checks import summary_queries
+from checks.sensor_queries import (
+    _ALERTS, _ANOMALIES, _BASE, _FORECAST, _METRICS, _PRICES, _TREND, rounded,
+)
 from checks.summary_queries import (
     hour_level_table,
     _FLAT_WITH, _MIX_WITH, _PEAK_WITH, _TOTALS, _TRANSITIONS, _mix, _scored, risk_with,
@@ -102,12 +105,87 @@ def sensor_job_prices(spark, folder):
     return _job_table("pricing_recommendations.parquet")(spark, folder)
 
 
-def dashboard_most_congested(spark, folder):
+def sensor_job_metrics(spark, folder):
+    table = _job_table("traffic_metrics.parquet")(spark, folder)
+    return rounded(table, 6, "speed", "free_flow_speed", "avg_speed_1h", "speed_std_1h", "density_proxy")
+
+
+def sensor_job_forecast(spark, folder):
+    return rounded(_job_table("traffic_forecast.parquet")(spark, folder), 6, "speed")
+
+
+def sensor_job_anomalies(spark, folder):
+    table = _job_table("anomalies.parquet")(spark, folder)
+    return rounded(table, 6, "speed", "avg_speed_1h", "speed_zscore")
+
+
+def _dashboard(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     output, _ = _job(spark, folder)
-    tables = sensor_job.dashboard(spark, output)
+    return sensor_job.dashboard(spark, output)
+
+
+def dashboard_most_congested(spark, folder):
+    tables = _dashboard(spark, folder)
     return tables["most_congested_now"].select("sensor_id", "timestamp", "density_score")
 
 
+def dashboard_choices(spark, folder):
+    return _dashboard(spark, folder)["sensor_choices"]
+
+
+def dashboard_history(spark, folder):
+    return rounded(_dashboard(spark, folder)["sensor_history"], 6, "speed")
+
+
+def dashboard_fees(spark, folder):
+    return rounded(_dashboard(spark, folder)["parking_fee_distribution"], 6, "q1_fee", "median_fee", "q3_fee")
+
+
+def dashboard_charges(spark, folder):
+    return _dashboard(spark, folder)["top_charges"]
+
+
+def dashboard_anomalies(spark, folder):
+    return rounded(_dashboard(spark, folder)["latest_anomalies"], 6, "speed", "avg_speed_1h", "speed_zscore")
+
+
+# Report jobs: tables as files, read back.
+
+
+def _vehicle_table(name: str, *round_to_8: str):
+    def query(spark, folder):
+        output = new_folder(spark, "vehicle-report")
+        reports.write_tables(reports.vehicle_report(_mix(spark, folder)), output)
+        return rounded(spark.read.parquet(f"{output}/{name}"), 8, *round_to_8)
+
+    return query
+
+
+def _intelligence_table(name: str):
+    def query(spark, folder):
+        output = new_folder(spark, "risk-intelligence")
+        reports.write_tables(reports.risk_intelligence(view(spark, folder, "road_conditions"), ["event_id"]), output)
+        return spark.read.parquet(f"{output}/{name}")
+
+    return query
+
+
+def risk_job_rows(spark, folder):
+    return _intelligence_table("rows")(spark, folder).select("event_id", "hour", "rush_hour", "risk_level", "risk_reason")
+
+
+def risk_job_levels(spark, folder):
+    table = _intelligence_table("hours_and_levels")(spark, folder)
+    return table.select("hour", "risk_level", "records", *[
+        F.round(c, 8).alias(c) for c in ("avg_traffic_volume", "avg_total_risk_score")
+    ])
+
+
+def risk_job_transitions(spark, folder):
+    table = _intelligence_table("first_transitions")(spark, folder)
+    return table.select("event_id", "risk_level", "previous_risk_level")
+
+
 def alert_counts(spark, folder):
     facts = sensors.sensor_facts(
         view(spark, folder, "readings"), sensors=view(spark, folder, "sensors")
@@ -220,7 +298,18 @@ QUERIES = {
         sensor_job_summary,
         sensor_job_alerts,
         sensor_job_prices,
+        sensor_job_metrics,
+        sensor_job_forecast,
+        sensor_job_anomalies,
         dashboard_most_congested,
+        dashboard_choices,
+        dashboard_history,
+        dashboard_fees,
+        dashboard_charges,
+        dashboard_anomalies,
+        risk_job_rows,
+        risk_job_levels,
+        risk_job_transitions,
         alert_counts,
         streamed_alerts,
         junction_summary_hourly,
@@ -237,6 +326,19 @@ QUERIES = {
     )
 }
 
+# Table of the vehicle report -> the registered query whose SQL it must equal.
+_VEHICLE_TABLES = {
+    "totals": "vehicle_totals",
+    "composition": "vehicle_composition",
+    "situations": "situation_summary",
+    "weekdays": "weekday_summary",
+    "daily_trend": "daily_trend",
+}
+QUERIES |= {
+    f"vehicle_job_{name}": _vehicle_table(name, *(["share_percent"] if name == "composition" else []))
+    for name in _VEHICLE_TABLES
+}
+
 _LONG = """
 SELECT timestamp, sensor_id, speed FROM readings_wide
 UNPIVOT INCLUDE NULLS (speed FOR sensor_id IN (click, error, purchase, signup, view))"""
@@ -268,6 +370,37 @@ SELECT 'events' AS dataset, (SELECT count(*) FROM metrics) AS records_processed,
     "sensor_job_prices": with_views(
         "readings_wide", **_JOB, prices=_PRICES
     ) + "SELECT * FROM prices",
+    "sensor_job_metrics": with_views("readings_wide", **_JOB) + """
+SELECT timestamp, sensor_id, round(speed, 6) AS speed, round(free_flow_speed, 6) AS free_flow_speed,
+  round(avg_speed_1h, 6) AS avg_speed_1h, round(speed_std_1h, 6) AS speed_std_1h,
+  round(density_proxy, 6) AS density_proxy, density_score, congestion_level,
+  travel_time_multiplier, hour_of_day, is_peak_period FROM metrics""",
+    "sensor_job_forecast": with_views("readings_wide", **_JOB, trended=_TREND, forecast=_FORECAST) + """
+SELECT * REPLACE (round(speed, 6) AS speed) FROM forecast""",
+    "sensor_job_anomalies": with_views("readings_wide", **_JOB, anomalies=_ANOMALIES) + """
+SELECT * REPLACE (round(speed, 6) AS speed, round(avg_speed_1h, 6) AS avg_speed_1h,
+  round(speed_zscore, 6) AS speed_zscore) FROM anomalies""",
+    "dashboard_choices": "SELECT sensor_id FROM (" + _TYPES + ")",
+    "dashboard_history": with_views("readings_wide", **_JOB, trended=_TREND, forecast=_FORECAST) + """
+SELECT timestamp, round(speed, 6) AS speed, forecast_speed FROM forecast WHERE sensor_id = 'click'""",
+    "dashboard_fees": with_views("readings_wide", **_JOB, prices=_PRICES) + """
+SELECT congestion_level, count(*) AS records, min(parking_fee_usd) AS min_fee,
+  round(quantile_cont(parking_fee_usd, 0.25), 6) AS q1_fee,
+  round(quantile_cont(parking_fee_usd, 0.5), 6) AS median_fee,
+  round(quantile_cont(parking_fee_usd, 0.75), 6) AS q3_fee, max(parking_fee_usd) AS max_fee
+FROM prices GROUP BY congestion_level""",
+    "dashboard_charges": with_views("readings_wide", **_JOB, prices=_PRICES) + """
+SELECT * FROM prices ORDER BY congestion_charge_usd DESC, timestamp, sensor_id LIMIT 20""",
+    "dashboard_anomalies": with_views("readings_wide", **_JOB, anomalies=_ANOMALIES) + """
+SELECT * REPLACE (round(speed, 6) AS speed, round(avg_speed_1h, 6) AS avg_speed_1h,
+  round(speed_zscore, 6) AS speed_zscore) FROM anomalies ORDER BY timestamp DESC, sensor_id LIMIT 50""",
+    "risk_job_rows": summary_queries.ORACLES["risk_intelligence"],
+    "risk_job_levels": risk_with("report") + """
+SELECT hour, risk_level, count(*) AS records, round(avg(traffic_volume), 8) AS avg_traffic_volume,
+  round(avg(total_risk_score), 8) AS avg_total_risk_score FROM scored GROUP BY hour, risk_level""",
+    "risk_job_transitions": risk_with("report", changes=_TRANSITIONS) + """
+SELECT event_id, risk_level, previous_risk_level FROM changes ORDER BY date_time, event_id LIMIT 10""",
+    **{f"vehicle_job_{name}": summary_queries.ORACLES[own] for name, own in _VEHICLE_TABLES.items()},
     "dashboard_most_congested": with_views("readings_wide", **_JOB) + """
 SELECT sensor_id, timestamp, density_score FROM (SELECT * FROM metrics
   QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY timestamp DESC) = 1)
