@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.hashing import blocks
 from roadlens.llm.tokens import encoder, with_end
+from roadlens.llm.workers import give_back
 from roadlens.operators.lineage import staged
 
 _SECOND, _LAST = 1 << 62, (1 << 62) + (1 << 61)  # sequence numbers of steps 2 and 3
@@ -100,6 +101,7 @@ def pack(
             rows.extend((*piece, None, None, k, part, i) for i, piece in enumerate(waiting))
         if rows:
             yield emit()
+        give_back()
 
     schema = f"doc_id {id_type}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, class int, part int, place int"
     pieces = staged(narrow.mapInArrow(run, schema))

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.llm.workers import give_back
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 START, END = "\x02", "\x03"
 
@@ -221,10 +223,10 @@ class Scorer:
         return cls(Model.fit(rows, settings).compiled(), weights)
 
     def forget(self) -> None:
-        """Give up the words met so far; workers go on to other stages."""
+        """Give up the words met so far."""
         if self.model is not None:
             self.model.known.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def score(self, text: str | None) -> float:
         if self.model is None:
@@ -267,4 +269,6 @@ def clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
             yield batch.filter(pa.array(stay, pa.bool_()))
         model.forget()
 
-    return docs.mapInArrow(run, docs.schema)
+    # Plain names on the way: a name may hold a dot.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
