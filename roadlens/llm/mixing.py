@@ -151,5 +151,5 @@ def realise(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     same = F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_own") == F.col("__mix_block"))
     taken = own.join(placed, same).where(F.col("__mix_copies") > 0)
     return taken.withColumn("__mix_pass", F.explode(F.sequence(F.lit(1), "__mix_copies"))).select(
-        *[docs[c] for c in docs.columns]
+        *["`" + c.replace("`", "``") + "`" for c in docs.columns]
     )

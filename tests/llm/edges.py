@@ -1,6 +1,6 @@
 """Rows every operator must cope with."""
 
-EDGE_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, block int"
+EDGE_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, block int, `a.b` int"
 
 
 def edge_rows():
@@ -21,7 +21,7 @@ def edge_rows():
         (8, "two words", "en", "a", 9, 0.1, "y", 1),
         (9, "line\nline\n\nline two\nline", "en", "a", 9, 0.1, "y", 1),
     ]
-    return rows
+    return [(*row, i % 3) for i, row in enumerate(rows)]
 
 
 def edge_docs(spark):
