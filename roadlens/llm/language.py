@@ -46,32 +46,33 @@ class Settings:
 
 
 def sample(docs: DataFrame, lang: Column, settings: Settings) -> dict[str, str]:
-    """Text to learn from, by language: whole rows up to the bound."""
-    place = F.xxhash64("doc_id")
+    """Text to learn from, by language: whole rows up to the bound.
+
+    A row teaches its own language its own text, whatever other rows share its id; equal rows teach once.
+    """
+    place, words = F.xxhash64("doc_id"), F.xxhash64("text")
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).select(
-        "doc_id", lang.alias("lang"), F.char_length("text").alias("n"), place.alias("place")
+        "doc_id", lang.alias("lang"), F.char_length("text").alias("n"), place.alias("place"), words.alias("words")
     )
     rows = rows.where(F.col("lang").isNotNull() & F.col("n").between(1, settings.longest))
-    # About twice the wanted rows by a line through the hashes, then exact ranks among those.
+    # About twice the wanted rows by a line through the hashes of the ids, then exact ranks among those.
     # One row per language, written down: its size is known when the join is planned, so rows are
     # not dealt by language before they are filtered.
-    counts = staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of")))
+    counts = staged(rows.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("of")))
     share = F.least(F.lit(1.0), F.lit(2.0 * settings.rows) / F.col("of"))
     below = F.pmod("place", F.lit(1 << 40)) < share * F.lit(float(1 << 40))
-    order = Window.partitionBy("lang").orderBy("place", "doc_id")
-    rows = rows.join(counts, "lang").where(below).withColumn("rank", F.row_number().over(order))
-    rows = rows.where(F.col("rank") <= settings.rows)
-    # At most `rows` ids per language.
-    ids = F.broadcast(rows.select("doc_id", "lang", "place").distinct())
-    texts = docs.select("doc_id", "text").join(ids, "doc_id").where(
-        F.char_length("text").between(1, settings.longest)
-    )
-    found: dict[str, str] = {}
-    for row in texts.orderBy("lang", "place", "text").collect():
-        so_far = found.get(row["lang"], "")
-        if len(so_far) < settings.chars:
-            found[row["lang"]] = so_far + row["text"].lower() + "\n"
-    return found
+    order = Window.partitionBy("lang").orderBy("place", "doc_id", "words")
+    rows = rows.join(counts, "lang").where(below).drop("of").distinct().withColumn("rank", F.row_number().over(order))
+    before = F.coalesce(F.sum(F.col("n") + 1).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.where(F.col("rank") <= settings.rows).withColumn("before", before)
+    # At most `rows` rows per language, and less than `chars` characters but for the last of them.
+    some = F.broadcast(rows.where(F.col("before") < settings.chars).select("doc_id", "lang", "words", "rank"))
+    texts = docs.select("doc_id", lang.alias("lang"), words.alias("words"), "text").join(some, ["doc_id", "lang", "words"])
+    once = texts.groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    line = F.sort_array(F.collect_list(F.struct("rank", "text")))
+    whole = F.array_join(F.transform(line, lambda row: F.concat(row["text"], F.lit("\n"))), "")
+    return {row["lang"]: row["text"].lower() for row in once.groupBy("lang").agg(whole.alias("text")).collect()}
+
 
 
 def transitions(codes: Sequence[int]) -> list[dict[int, int]]:
