@@ -192,3 +192,28 @@ def test_quality_edges(spark):
     rows = quality.score(docs).collect()
     assert len(rows) == docs.count()
     assert quality.score(no_docs(spark)).collect() == []
+
+
+def test_language_sample_keeps_rows_apart(spark):
+    """Rows that share an id teach their own language their own text."""
+    kept = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows = [(kept, "aaa bbb", "en"), (kept, "ccc ddd", None), (kept, "eee fff", "de"), (kept, "eee fff", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.sample(docs, F.col("lang"), language.Settings())
+    assert found == {"en": "aaa bbb\n", "de": "eee fff\n"}
+
+
+def test_language_of_one_id_is_learned(spark):
+    for kept in [i for i in range(30) if zlib.crc32(str(i).encode()) % 4 != 2][:8]:
+        docs = spark.range(300).select(F.lit(kept).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+        found = language.sample(docs, F.col("lang"), language.Settings(rows=20, chars=90))
+        assert 90 <= len(found["en"]) < 110
+
+
+def test_language_sample_is_bounded(spark):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word "), F.col("id")), 30).alias("text"),
+        F.element_at(F.array(F.lit("en"), F.lit("de")), (F.col("id") % 2 + 1).cast("int")).alias("lang"),
+    )
+    found = language.sample(docs, F.col("lang"), language.Settings(rows=50, chars=2_000))
+    assert set(found) == {"en", "de"} and all(2_000 <= len(t) < 2_400 for t in found.values())
