@@ -48,14 +48,15 @@ SELECT concat('s', CAST(l_suppkey AS STRING)), concat('c', CAST(o_custkey AS STR
   min(l_extendedprice + 1000 * l_quantity)
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_custkey, l_suppkey""",
-    # Orders with a key divisible by 100 ask for routes from their customer to their suppliers and back.
-    # No road leads to a region.
+    # Customers with a key divisible by 100 ask for routes to the suppliers of their orders' first lines,
+    # and supplier 0 for the way to such customers. No road leads to a region.
     "route_pairs": """
-SELECT concat('c', CAST(o_custkey AS STRING)) AS source, concat('s', CAST(l_suppkey AS STRING)) AS target
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 100 = 0
+SELECT DISTINCT concat('c', CAST(o_custkey AS STRING)) AS source,
+  concat('s', CAST(l_suppkey AS STRING)) AS target
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_custkey % 100 = 0 AND l_linenumber = 1
 UNION
-SELECT concat('s', CAST(l_suppkey AS STRING)), concat('c', CAST(o_custkey AS STRING))
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 100 = 0 AND l_linenumber = 1
+SELECT 's0', concat('c', CAST(c_custkey AS STRING)) FROM customer WHERE c_custkey % 100 = 0
 UNION
 SELECT 's0', r_name FROM region
 UNION
