@@ -48,15 +48,17 @@ SELECT concat('s', CAST(l_suppkey AS STRING)), concat('c', CAST(o_custkey AS STR
   min(l_extendedprice + 1000 * l_quantity)
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_custkey, l_suppkey""",
-    # Customers with a key divisible by 100 ask for routes to the suppliers of their orders' first lines,
-    # and supplier 0 for the way to such customers. No road leads to a region.
+    # The first customer of every region asks for routes to the suppliers of its orders' first lines, and
+    # supplier 0 for the way to these customers: a bounded set of pairs. No road leads to a region.
     "route_pairs": """
 SELECT DISTINCT concat('c', CAST(o_custkey AS STRING)) AS source,
   concat('s', CAST(l_suppkey AS STRING)) AS target
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE o_custkey % 100 = 0 AND l_linenumber = 1
+WHERE l_linenumber = 1 AND o_custkey IN (
+  SELECT min(c_custkey) FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey)
 UNION
-SELECT 's0', concat('c', CAST(c_custkey AS STRING)) FROM customer WHERE c_custkey % 100 = 0
+SELECT 's0', concat('c', CAST(min(c_custkey) AS STRING))
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey
 UNION
 SELECT 's0', r_name FROM region
 UNION
