@@ -24,6 +24,8 @@ LABEL = "label"
 DEEP = 30
 # More node statistics per pass over the rows means fewer passes.
 _FOREST = {"seed": SEED, "maxMemoryInMB": 1024}
+# Rows of deep trees remember their node, so no level walks them from the root again.
+_DEEP_FOREST = {**_FOREST, "cacheNodeIds": True, "checkpointInterval": -1}
 
 
 def _encoded(texts: Sequence[str], drop_unseen: bool) -> list:
@@ -129,7 +131,7 @@ def small_situation_forest(trees: int = 200, depth: int = DEEP) -> Pipeline:
 
 
 def small_risk_forest(trees: int = 200, depth: int = DEEP) -> Pipeline:
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_FOREST)
+    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_DEEP_FOREST)
     inputs = plain_inputs(features.SMALL_RISK_NUMBERS, features.SMALL_RISK_TEXTS)
     return Pipeline(stages=[label_indexer("risk_level"), *inputs, forest])
 
@@ -161,7 +163,7 @@ def risk_forest(
         numTrees=trees,
         maxDepth=depth,
         minInstancesPerNode=2,
-        **_FOREST,
+        **_DEEP_FOREST,
     )
     return _risk(model, numbers)
 

@@ -13,7 +13,7 @@ from roadlens.config import DEFAULTS, Settings
 from roadlens.ml import boosting, features, models, scoring
 from roadlens.operators import evaluation
 from roadlens.operators.lineage import staged
-from roadlens.operators.reshape import medians
+from roadlens.operators.reshape import medians, spread
 
 
 @dataclass
@@ -29,7 +29,7 @@ class Fitted:
 
 def evaluate_classes(name: str, model: PipelineModel, test: DataFrame, label: str) -> Fitted:
     """Score the hold-out rows once; every quality table is a count over those scores."""
-    scored = staged(scoring.predict_classes(model, test).withColumn("actual", F.col(label)))
+    scored = staged(scoring.predict_classes(model, spread(test)).withColumn("actual", F.col(label)))
     names = scoring.class_names(model)
     matrix = evaluation.confusion(scored, names)
     metrics = evaluation.classification_metrics(matrix).select(
@@ -48,7 +48,7 @@ def train_volume(
     """Demand forecast: chronological split, forest, predicted volume and fare."""
     data = staged(features.demand_features(counts, ties))
     train, test = features.time_split(data)
-    model = models.volume_forecaster(trees, depth).fit(train)
+    model = models.volume_forecaster(trees, depth).fit(spread(train))
     predictions = staged(scoring.with_fare(model.transform(test)))
     name = "Volume forest"
     metrics = evaluation.regression_metrics(predictions).withColumn("model", F.lit(name))
@@ -57,7 +57,7 @@ def train_volume(
 
 def train_small_volume(counts: DataFrame, key: str, trees: int = 150) -> Fitted:
     train, test = features.random_split(features.small_volume_features(counts), key)
-    model = models.small_volume_forest(trees).fit(train)
+    model = models.small_volume_forest(trees).fit(spread(train))
     predictions = model.transform(test)
     metrics = evaluation.regression_metrics(predictions).select(
         F.round("mae", 2).alias("mae"), F.round("r2", 4).alias("r2")
@@ -131,7 +131,7 @@ def search_softmax(
 def train_small_situation(mix: DataFrame, key: str, trees: int = 200) -> Fitted:
     data = staged(features.small_situation_features(mix))
     train, test = features.stratified_split(data, key, "traffic_situation")
-    model = models.small_situation_forest(trees).fit(train)
+    model = models.small_situation_forest(trees).fit(spread(train))
     return evaluate_classes(
         scoring.MODEL_NAMES["situation"][0], model, test, "traffic_situation"
     )
@@ -141,7 +141,7 @@ def train_small_risk(roads: DataFrame, key: str, trees: int = 200) -> Fitted:
     """Risk classifier on request-shaped rows; rows without a full set of inputs are left out."""
     data = staged(features.small_risk_features(roads).dropna(subset=features.SMALL_RISK_NUMBERS))
     train, test = features.stratified_split(data, key, "risk_level")
-    model = models.small_risk_forest(trees).fit(train)
+    model = models.small_risk_forest(trees).fit(spread(train))
     return evaluate_classes(scoring.MODEL_NAMES["risk"][0], model, test, "risk_level")
 
 
@@ -194,7 +194,7 @@ def train_risk(
 
     fitted = [
         ("Logistic Regression", models.risk_logistic(numbers, logistic_rounds).fit(weighted)),
-        ("Random Forest", models.risk_forest(numbers, trees).fit(weighted)),
+        ("Random Forest", models.risk_forest(numbers, trees).fit(spread(weighted))),
     ]
     if boosted:
         n_classes = evaluation.distinct_labels(weighted, "risk_level").first()["n_classes"]

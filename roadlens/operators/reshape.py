@@ -83,3 +83,19 @@ def fill_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         {c: F.coalesce(F.col(c), one.getField(c).cast(kinds[c])) for c in columns}
     )
 
+
+# Rows a task must have to be worth its own sums, which every task sends for every node.
+_TASK_ROWS = 5000
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows in equal parts, as many as there are cores or as there were before.
+
+    A forest walks every row through every tree once a level, so a table that is a small file (or one row
+    group of a large one) would keep one core busy. Small tables stay as they are.
+    """
+    n = rows.count() // _TASK_ROWS
+    if n < 2:
+        return rows
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    return rows.repartition(min(n, parts))
