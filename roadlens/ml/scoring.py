@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -104,7 +106,20 @@ def with_votes(forest, rows: DataFrame, votes: str = "votes") -> DataFrame:
 
 
 def volume_with_confidence(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Predicted volume, and 1 - spread of the trees / max(|prediction|, 1) kept in 0..1."""
+    """Predicted volume, and 1 - spread of the trees / max(|prediction|, 1) kept in 0..1.
+
+    Both follow from the model's inputs alone, so every different set of inputs is scored once and its
+    answer joined to all rows that share it, null or not. ``rows`` are read twice.
+    """
+    inputs = [name for name in model.stages[0].getInputCols() if name in rows.columns]
+    cells = staged(_volume_answers(model, rows.select(*inputs).distinct()))
+    answers = [name for name in cells.columns if name not in inputs]
+    named = cells.withColumnsRenamed({name: f"_cell_{name}" for name in inputs})
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_cell_{name}")) for name in inputs])
+    return rows.join(named, same, "left").select(*rows.columns, *answers)
+
+
+def _volume_answers(model: PipelineModel, rows: DataFrame) -> DataFrame:
     scored = with_votes(model.stages[-1], PipelineModel(model.stages[:-1]).transform(rows), "_votes")
     # The forest's own prediction is the mean of its trees.
     squares = F.transform("_votes", lambda vote: F.pow(vote - F.col("prediction"), 2))

@@ -79,6 +79,29 @@ def test_deep_forests_remember_nodes():
         assert forest.getCacheNodeIds() and forest.getMaxDepth() == models.DEEP
 
 
+def test_volume_answers_once_per_set_of_inputs(spark, counts, monkeypatch):
+    data = counts.where("ID < 2000").select(
+        F.hour("DateTime").alias("hour"), F.col("Junction").alias("junction"), F.col("Vehicles").cast("double").alias("Vehicles")
+    )
+    model = models.small_volume_forest(trees=5, depth=4).fit(data)
+    asked = spark.createDataFrame(
+        [(i, i % 2, None if i % 5 == 0 else 1) for i in range(500)], "id int, hour int, junction int"
+    )
+    plain = scoring.with_votes(model.stages[-1], model.stages[0].transform(asked), "votes")
+    want = {r["id"]: r["prediction"] for r in plain.select("id", "prediction").collect()}
+    scored, sizes = scoring.with_votes, []
+
+    def counted(forest, rows, votes="votes"):
+        sizes.append(rows.count())
+        return scored(forest, rows, votes)
+
+    monkeypatch.setattr(scoring, "with_votes", counted)
+    got = scoring.volume_with_confidence(model, asked).collect()
+    assert sizes == [4]
+    assert {r["id"]: r["prediction"] for r in got} == pytest.approx(want) and len(got) == 500
+    assert not [r for r in got if r["confidence_score"] is None]
+
+
 def test_requests_are_dealt_before_they_are_scored(spark, monkeypatch):
     seen = []
 
