@@ -49,7 +49,7 @@ def train_volume(
     data = staged(features.demand_features(counts, ties))
     train, test = features.time_split(data)
     model = models.volume_forecaster(trees, depth).fit(spread(train))
-    predictions = staged(scoring.with_fare(model.transform(test)))
+    predictions = staged(scoring.with_fare(model.transform(spread(test))))
     name = "Volume forest"
     metrics = evaluation.regression_metrics(predictions).withColumn("model", F.lit(name))
     return Fitted(name, model, predictions, metrics)
