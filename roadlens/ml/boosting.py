@@ -239,8 +239,12 @@ def _best_split(classes: int, features: int, least_rows: int):
 
 
 def feature_cuts(rows: DataFrame, features: int, bins: int) -> list[np.ndarray]:
-    """Per feature the largest value of every bin but the last: all values where there are as few as
-    bins, else quantiles."""
+    """Per feature the largest value of every bin but the last."""
+    return [ends[:-1] for ends in bin_ends(rows, features, bins)]
+
+
+def bin_ends(rows: DataFrame, features: int, bins: int) -> list[np.ndarray]:
+    """Per feature the largest value of every bin: all values where there are as few as bins, else quantiles."""
     cells = F.posexplode(vector_to_array("features")).alias("feature", "value")
     counted = rows.select(cells).distinct()
     shares = [(i + 1) / bins for i in range(bins)]
@@ -253,7 +257,7 @@ def feature_cuts(rows: DataFrame, features: int, bins: int) -> list[np.ndarray]:
         table = rows.select(*[values[i].alias(f"f{i}") for i in wide])
         points = table.agg(*[F.percentile_approx(f"f{i}", shares, 20 * bins) for i in wide]).first()
         cuts |= dict(zip(wide, points))
-    return [np.unique(np.array(cuts[i]))[:-1] for i in range(features)]
+    return [np.unique(np.array(cuts[i])) for i in range(features)]
 
 
 def fit(

@@ -17,6 +17,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
 from roadlens.ml import features
+from roadlens.ml.forest import ForestClassifier
 
 SEED = 42
 LABEL = "label"
@@ -131,7 +132,7 @@ def small_situation_forest(trees: int = 200, depth: int = DEEP) -> Pipeline:
 
 
 def small_risk_forest(trees: int = 200, depth: int = DEEP) -> Pipeline:
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_DEEP_FOREST)
+    forest = ForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, **_DEEP_FOREST)
     inputs = plain_inputs(features.SMALL_RISK_NUMBERS, features.SMALL_RISK_TEXTS)
     return Pipeline(stages=[label_indexer("risk_level"), *inputs, forest])
 
@@ -157,7 +158,7 @@ def risk_forest(
     numbers: Sequence[str] = features.RISK_NUMBERS, trees: int = 300, depth: int = DEEP
 ) -> Pipeline:
     """Weighted forest. A node needs two rows per side, the nearest Spark has to four to split."""
-    model = RandomForestClassifier(
+    model = ForestClassifier(
         labelCol=LABEL,
         weightCol="class_weight",
         numTrees=trees,
