@@ -17,7 +17,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
 from roadlens.ml import features
-from roadlens.ml.forest import ForestClassifier
+from roadlens.ml.forest import ForestClassifier, ForestRegressor
 
 SEED = 42
 LABEL = "label"
@@ -77,7 +77,7 @@ def plain_inputs(numbers: Sequence[str], texts: Sequence[str]) -> list:
 
 def volume_forecaster(trees: int = 150, depth: int = 12) -> Pipeline:
     """Volume from calendar, lags and the one-hot junction."""
-    forest = RandomForestRegressor(
+    forest = ForestRegressor(
         labelCol="Vehicles", numTrees=trees, maxDepth=depth, minInstancesPerNode=2, **_FOREST
     )
     inputs = ["Junction_encoded", *features.VOLUME_INPUTS]
