@@ -11,6 +11,7 @@ from roadlens.functions import rules, scalars
 from roadlens.ml import features, models, scoring, training
 from roadlens.operators import evaluation, junctions, requests, vehicles
 from roadlens.operators.lineage import staged
+from roadlens.operators.reshape import spread
 
 _WAVES = ["hour_sin", "hour_cos", "rolling_mean_3"]
 
@@ -278,7 +279,9 @@ def request_comparison(spark, folder):
             "day_of_week": F.date_format("date_time", "EEEE"),
         }
     )
-    checked = requests.validate(asked.select("event_id", *requests.FIELDS))
+    # Dealt and written down before they are checked: the checks take longest, and Spark would move them
+    # before the dealing.
+    checked = requests.validate(staged(spread(asked.select("event_id", *requests.FIELDS))))
     valid = checked.where(F.size("errors") == 0).drop("errors")
     return scoring.compare_requests(
         valid,

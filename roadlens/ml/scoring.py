@@ -145,7 +145,7 @@ def compare_requests(
     risk: PipelineModel,
 ) -> DataFrame:
     """Every valid request scored by all three models: one row per request and model."""
-    requests = staged(spread(requests))
+    requests = spread(staged(requests))
     scored = volume_with_confidence(volume, requests).select(
         *requests.columns,
         F.round("prediction", 2).cast("string").alias("_volume"),

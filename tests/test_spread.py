@@ -114,3 +114,21 @@ def test_requests_are_dealt_before_they_are_scored(spark, monkeypatch):
     with pytest.raises(_Seen):
         scoring.compare_requests(spark.range(0, 30_000, 1, 1), "id", None, None, None)
     assert seen[0] > 1
+
+
+def test_requests_are_computed_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(n):
+        made.add(1)
+        return n
+
+    monkeypatch.setattr(scoring, "volume_with_confidence", lambda model, rows: _raise(rows.select("id").distinct().count()))
+    with pytest.raises(_Seen):
+        scoring.compare_requests(spark.range(0, 20_000, 1, 1).select(seen("id").alias("id")), "id", None, None, None)
+    assert made.value == 20_000
+
+
+def _raise(*args):
+    raise _Seen(*args)
